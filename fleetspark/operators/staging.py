@@ -88,12 +88,17 @@ def with_previous(
     value: str,
     out: str,
     bucket: str = "hour",
+    carry_source: DataFrame | None = None,
 ) -> DataFrame:
     """``lag(value) over (partition by key order by *order)``, split by time bucket.
 
     ``order[0]`` must be a timestamp; ``bucket`` is a ``date_trunc`` unit. Rows
     are windowed per (key, bucket); the first row of a bucket gets the last
     ``value`` of the key's previous non-empty bucket.
+
+    ``carry_source`` may be a frame with more copies of the same rows (the
+    input before de-duplication): the per-bucket last value is the same, and
+    reading it there keeps the de-duplication shuffle from running twice.
     """
     ts = order[0]
     ordering = [F.col(c).asc_nulls_first() for c in order]
@@ -101,7 +106,8 @@ def with_previous(
     w = Window.partitionBy(key, "_bucket").orderBy(*ordering)
     inner = b.withColumn("_prev", F.lag(value).over(w)).withColumn("_pos", F.row_number().over(w))
 
-    last = b.groupBy(key, "_bucket").agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_last"))
+    src = b if carry_source is None else carry_source.withColumn("_bucket", F.date_trunc(bucket, F.col(ts)))
+    last = src.groupBy(key, "_bucket").agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_last"))
     carry = last.select(
         key,
         "_bucket",
@@ -119,8 +125,17 @@ def distance_rule(current: Column, previous: Column, lower: float = 0, upper: fl
     return F.when(delta.between(lower, upper), delta).otherwise(F.lit(0).cast("double"))
 
 
-def with_distance(df: DataFrame, key: str = "vehicle_id", bucket: str = "hour", lower: float = 0, upper: float = 1) -> DataFrame:
-    prev = with_previous(df, key, ["recorded_at", "message_id"], "odometer_km", "previous_odometer_km", bucket=bucket)
+def with_distance(
+    df: DataFrame,
+    key: str = "vehicle_id",
+    bucket: str = "hour",
+    lower: float = 0,
+    upper: float = 1,
+    carry_source: DataFrame | None = None,
+) -> DataFrame:
+    prev = with_previous(
+        df, key, ["recorded_at", "message_id"], "odometer_km", "previous_odometer_km", bucket=bucket, carry_source=carry_source
+    )
     return prev.withColumn("distance_km", distance_rule(F.col("odometer_km"), F.col("previous_odometer_km"), lower, upper))
 
 
@@ -128,4 +143,5 @@ def stage_readings(decoded: DataFrame, bucket: str = "hour") -> DataFrame:
     """Decoded messages -> staging readings (M7): flatten, first copy per message, distance."""
     flat = flatten_readings(decoded)
     deduped = dedup_first(flat)
-    return with_distance(deduped, bucket=bucket).select(*STAGING_COLUMNS)
+    # Redelivered copies carry the same message, so the per-bucket carry can be read before de-duplication.
+    return with_distance(deduped, bucket=bucket, carry_source=flat).select(*STAGING_COLUMNS)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.model import STAGING_COLUMNS
 from fleetspark.operators import marts
-from fleetspark.operators.staging import stage_readings
+from fleetspark.operators.staging import flatten_readings, stage_readings
 from fleetspark.sources.readings import load_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +42,51 @@ def q_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(d, ["distance_km", "avg_speed_kmh", "avg_moving_speed_kmh", "avg_engine_temp_c"])
 
 
+def q_dim_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dim_vehicles(staging(spark, sf_dir))
+
+
+def q_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _arrays_as_text(marts.latest_status(staging(spark, sf_dir)), ["dtc_codes"])
+
+
+def q_vehicle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.vehicle_events(staging(spark, sf_dir))
+
+
+def q_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(marts.hourly(staging(spark, sf_dir)), ["avg_speed_kmh"])
+
+
+def q_time_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round(marts.time_chart(staging(spark, sf_dir), "speed_kmh", "15 minutes"), ["avg_speed_kmh"])
+
+
+def q_count_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.count_by(staging(spark, sf_dir), ["vehicle_type"])
+
+
+def q_search_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = marts.search_events(staging(spark, sf_dir), event="speeding", min_engine_temp=150, check_engine_light=True)
+    return _arrays_as_text(
+        found.select("message_id", "vehicle_id", "recorded_at", "speed_kmh", "engine_temp_c", "check_engine_light", "events"),
+        ["events"],
+    )
+
+
+def q_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.duplicates(flatten_readings(load_messages(spark, sf_dir)), ["message_id"])
+
+
 QUERIES: dict[str, Query] = {
     "M7_staging": q_staging,
     "D2_daily": q_daily,
+    "D1_dim_vehicles": q_dim_vehicles,
+    "E2_latest_status": q_latest_status,
+    "B12_vehicle_events": q_vehicle_events,
+    "D9_hourly_speed": q_hourly,
+    "D10_time_chart": q_time_chart,
+    "D8_count_by_type": q_count_by_type,
+    "B8_search_events": q_search_events,
+    "D7_redelivered_messages": q_redelivered,
 }
