@@ -170,3 +170,80 @@ ORACLE: dict[str, str] = {
     "B8_search_events": with_readings(SEARCH_SELECT),
     "D7_redelivered_messages": with_readings(DUPLICATES_SELECT),
 }
+
+# Rule checks on the raw (not de-duplicated) messages, strict form: zero scalars read as NULL.
+VALIDATION_NOW = "2024-01-30 00:00:00"
+_UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+_NOW = f"timestamp '{VALIDATION_NOW}'"
+FIELD_CHECKS_SQL = [
+    ("message_id", "nullif(message_id, '')", f"regexp_matches(coalesce(nullif(message_id, ''), ''), '{_UUID}')"),
+    ("vehicle_id", "nullif(vehicle_id, '')", "regexp_matches(coalesce(nullif(vehicle_id, ''), ''), '^vehicle-[0-9]{3}$')"),
+    ("vin", "nullif(vin, '')", "length(coalesce(nullif(vin, ''), '')) = 17"),
+    (
+        "vehicle_type",
+        "nullif(vehicle_type, 'VEHICLE_TYPE_UNSPECIFIED')",
+        "not starts_with(coalesce(vehicle_type, 'VEHICLE_TYPE_UNSPECIFIED'), 'UNKNOWN_ENUM_VALUE_')"
+        " and coalesce(vehicle_type, 'VEHICLE_TYPE_UNSPECIFIED') not in ('VEHICLE_TYPE_UNSPECIFIED')",
+    ),
+    ("timestamp", "recorded_at", f"recorded_at is not null and (recorded_at is null or recorded_at < {_NOW})"),
+    ("position", "null", "(latitude between -90 and 90) and (longitude between -180 and 180)"),
+    ("heading_deg", "nullif(heading_deg, 0)", "heading_deg >= 0 and heading_deg < 360"),
+    ("speed_kmh", "nullif(speed_kmh, 0)", "speed_kmh >= 0 and speed_kmh <= 250"),
+    ("rpm", "nullif(rpm, 0)", "rpm >= 0 and rpm <= 10000"),
+    ("gear", "nullif(gear, 0)", "gear >= 0 and gear <= 8"),
+    ("engine_temp_c", "nullif(engine_temp_c, 0)", "engine_temp_c >= -40 and engine_temp_c <= 150"),
+    ("fuel_level_pct", "nullif(fuel_level_pct, 0)", "fuel_level_pct >= 0 and fuel_level_pct <= 100"),
+    ("battery_voltage", "nullif(battery_voltage, 0)", "battery_voltage >= 0 and battery_voltage <= 30"),
+    ("odometer_km", "nullif(odometer_km, 0)", "odometer_km >= 0"),
+    (
+        "tire_pressure_kpa",
+        "null",
+        " and ".join(
+            f"(coalesce({w}, 0) between 0 and 500)"
+            for w in ("tire_front_left_kpa", "tire_front_right_kpa", "tire_rear_left_kpa", "tire_rear_right_kpa")
+        ),
+    ),
+    (
+        "dtc_codes",
+        "null",
+        "dtc_codes is null or coalesce(list_bool_and(list_transform(dtc_codes, lambda x: regexp_matches(x, '^[PCBU][0-9]{4}$'))), true)",
+    ),
+    (
+        "events",
+        "null",
+        "(events is null or len(list_distinct(events)) = len(events)) and (events is null or coalesce(list_bool_and("
+        "list_transform(events, lambda x: not starts_with(x, 'UNKNOWN_ENUM_VALUE_') and x not in ('EVENT_UNSPECIFIED'))), true))",
+    ),
+]
+
+VIOLATIONS_SELECT = "\nunion all\n".join(
+    f"select message_id, kafka_partition, kafka_offset, ingested_at, '{name}' as field, cast({value} as varchar) as invalid_value"
+    f" from raw where not coalesce({cond}, false)"
+    for name, value, cond in FIELD_CHECKS_SQL
+)
+
+# Model checks over staging and marts: one row per check with its failing-row count.
+MODEL_CHECKS_CTES = EVENTS_CTE.strip() + """,
+dim as (select vehicle_id from stg group by vehicle_id),
+daily as (select vehicle_id, event_date from stg group by vehicle_id, event_date)
+"""
+MODEL_CHECKS_SELECT = """
+select 'stg_message_id_unique' as "check", (select count(*) from (select message_id from stg where message_id is not null group by message_id having count(*) > 1)) as failures
+union all select 'stg_message_id_not_null', (select count(*) from stg where message_id is null)
+union all select 'stg_vehicle_id_not_null', (select count(*) from stg where vehicle_id is null)
+union all select 'stg_vehicle_type_accepted', (select count(*) from stg where vehicle_type not in ('car', 'van', 'truck', 'bus'))
+union all select 'stg_recorded_at_not_null', (select count(*) from stg where recorded_at is null)
+union all select 'stg_latitude_not_null', (select count(*) from stg where latitude is null)
+union all select 'stg_longitude_not_null', (select count(*) from stg where longitude is null)
+union all select 'stg_speed_not_negative', (select count(*) from stg where speed_kmh < 0)
+union all select 'events_event_id_unique', (select count(*) from (select event_id from fct where event_id is not null group by event_id having count(*) > 1))
+union all select 'events_event_id_not_null', (select count(*) from fct where event_id is null)
+union all select 'events_vehicle_in_dim', (select count(*) from fct where vehicle_id is not null and vehicle_id not in (select vehicle_id from dim where vehicle_id is not null))
+union all select 'events_event_type_accepted', (select count(*) from fct where event_type not in
+  ('harsh_braking', 'harsh_acceleration', 'speeding', 'engine_overheating', 'low_fuel', 'refueled', 'low_tire_pressure'))
+union all select 'daily_unique_vehicle_day', (select count(*) from (select vehicle_id, event_date from daily group by vehicle_id, event_date having count(*) > 1))
+union all select 'stg_readings_over_limits', (select count(*) from stg where speed_kmh > 250 or engine_temp_c > 150)
+"""
+
+ORACLE["Q24_field_violations"] = with_readings(VIOLATIONS_SELECT)
+ORACLE["Q31_model_checks"] = with_readings(MODEL_CHECKS_SELECT, MODEL_CHECKS_CTES)

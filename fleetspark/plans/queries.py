@@ -90,3 +90,48 @@ QUERIES: dict[str, Query] = {
     "B8_search_events": q_search_events,
     "D7_redelivered_messages": q_redelivered,
 }
+
+
+VALIDATION_NOW = "2024-01-30 00:00:00"
+
+
+def q_field_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule violations of every delivered message (Q1-Q22, Q24), ``now`` fixed so results are stable."""
+    from fleetspark.plans.quality import strict_values, validate
+
+    msgs = load_messages(spark, sf_dir)
+    return validate(strict_values(msgs), now=VALIDATION_NOW)
+
+
+def q_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model checks of staging and marts (Q26-Q31, C2) with failing-row counts."""
+    from fleetspark.model import ACCEPTED_EVENT_TYPES, ACCEPTED_VEHICLE_TYPES
+    from fleetspark.plans import quality as q
+
+    from fleetspark.session import materialize
+
+    stg = materialize(staging(spark, sf_dir))
+    fct = marts.vehicle_events(stg)
+    dim = marts.dim_vehicles(stg)
+    daily = marts.daily(stg)
+    checks = [
+        ("stg_message_id_unique", q.check_unique(stg, "message_id")),
+        ("stg_message_id_not_null", q.check_not_null(stg, "message_id")),
+        ("stg_vehicle_id_not_null", q.check_not_null(stg, "vehicle_id")),
+        ("stg_vehicle_type_accepted", q.check_accepted_values(stg, "vehicle_type", ACCEPTED_VEHICLE_TYPES)),
+        ("stg_recorded_at_not_null", q.check_not_null(stg, "recorded_at")),
+        ("stg_latitude_not_null", q.check_not_null(stg, "latitude")),
+        ("stg_longitude_not_null", q.check_not_null(stg, "longitude")),
+        ("stg_speed_not_negative", stg.where(F.col("speed_kmh") < 0)),
+        ("events_event_id_unique", q.check_unique(fct, "event_id")),
+        ("events_event_id_not_null", q.check_not_null(fct, "event_id")),
+        ("events_vehicle_in_dim", q.check_relationship(fct, "vehicle_id", dim, "vehicle_id")),
+        ("events_event_type_accepted", q.check_accepted_values(fct, "event_type", ACCEPTED_EVENT_TYPES)),
+        ("daily_unique_vehicle_day", q.check_unique_combination(daily, ["vehicle_id", "event_date"])),
+        ("stg_readings_over_limits", stg.where((F.col("speed_kmh") > 250) | (F.col("engine_temp_c") > 150))),
+    ]
+    return q.run_checks(stg, [q.Check(name, (lambda _df, failing=failing: failing)) for name, failing in checks])
+
+
+QUERIES["Q24_field_violations"] = q_field_violations
+QUERIES["Q31_model_checks"] = q_model_checks

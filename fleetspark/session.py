@@ -76,3 +76,9 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df):
+    """Writes ``df`` to the shared checkpoint folder and cuts its lineage (reliable, survives executor loss)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
