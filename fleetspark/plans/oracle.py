@@ -247,3 +247,88 @@ union all select 'stg_readings_over_limits', (select count(*) from stg where spe
 
 ORACLE["Q24_field_violations"] = with_readings(VIOLATIONS_SELECT)
 ORACLE["Q31_model_checks"] = with_readings(MODEL_CHECKS_SELECT, MODEL_CHECKS_CTES)
+
+INCREMENT_CUT = "2024-01-16 00:00:00"
+SNAPSHOT_CUTS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", None)
+AS_OF = "2024-01-15 00:00:00"
+
+_FCT_COLS = (
+    "message_id || '-' || event_type as event_id, message_id, vehicle_id, recorded_at, event_date, latitude, longitude,"
+    " speed_kmh, engine_temp_c, kafka_partition, kafka_offset, event_type"
+)
+INCREMENTAL_CTES = f"""
+dedup1 as (
+  select * exclude (rn) from (
+    select *, row_number() over (partition by message_id
+      order by ingested_at asc nulls first, kafka_partition asc, kafka_offset asc) as rn
+    from flat where ingested_at < timestamp '{INCREMENT_CUT}') where rn = 1
+),
+fct1 as (select {_FCT_COLS} from (select *, unnest(events) as event_type from dedup1)),
+wm as (select kafka_partition, max(kafka_offset) as max_kafka_offset from fct1 group by kafka_partition),
+new_stg as (
+  select s.* from stg s left join wm on s.kafka_partition = wm.kafka_partition
+  where wm.max_kafka_offset is null or s.kafka_offset > wm.max_kafka_offset
+),
+fct2 as (
+  select * exclude (rn) from (
+    select *, row_number() over (partition by event_id order by kafka_partition desc, kafka_offset desc) as rn
+    from (select {_FCT_COLS} from (select *, unnest(events) as event_type from new_stg))) where rn = 1
+)
+"""
+INCREMENTAL_SELECT = """
+select * from fct1 where event_id not in (select event_id from fct2)
+union all
+select * from fct2
+"""
+
+
+def _dim_cte(name: str, cut: str | None) -> str:
+    where = f"where recorded_at < timestamp '{cut}'" if cut else ""
+    return f"""{name} as (
+  select vehicle_id,
+    arg_max(vin, struct_pack(r := recorded_at, m := message_id)) as vin,
+    arg_max(vehicle_type, struct_pack(r := recorded_at, m := message_id)) as vehicle_type,
+    min(recorded_at) as first_seen_at, max(recorded_at) as last_seen_at,
+    count(*) as reading_count, max(odometer_km) as odometer_km
+  from stg {where} group by vehicle_id)"""
+
+
+_DIM_COLS = "vehicle_id, vin, vehicle_type, first_seen_at, last_seen_at, reading_count, odometer_km"
+_SCD_ID = "md5(vehicle_id || '|' || cast(epoch_us(valid_from) as varchar))"
+
+
+def _scd_first(name: str, dim: str) -> str:
+    return f"""{name} as (
+  select *, {_SCD_ID} as scd_id from (
+    select {_DIM_COLS}, last_seen_at as valid_from, cast(null as timestamp) as valid_to from {dim}))"""
+
+
+def _scd_step(name: str, prev: str, dim: str) -> str:
+    p_cols = ", ".join(f"p.{c.strip()}" for c in _DIM_COLS.split(","))
+    return f"""{name} as (
+  select {p_cols}, p.valid_from,
+    case when p.valid_to is null and d.vehicle_id is not null and p.valid_from < d.last_seen_at
+      then d.last_seen_at else p.valid_to end as valid_to,
+    p.scd_id
+  from {prev} p left join {dim} d on p.vehicle_id = d.vehicle_id
+  union all
+  select *, {_SCD_ID} as scd_id from (
+    select {", ".join("d." + c.strip() for c in _DIM_COLS.split(","))}, d.last_seen_at as valid_from, cast(null as timestamp) as valid_to
+    from {dim} d left join (select * from {prev} where valid_to is null) p on p.vehicle_id = d.vehicle_id
+    where p.vehicle_id is null or p.valid_from < d.last_seen_at))"""
+
+
+SCD2_CTES = ",\n".join(
+    [_dim_cte(f"dim{i}", cut) for i, cut in enumerate(SNAPSHOT_CUTS, 1)]
+    + [_scd_first("h1", "dim1")]
+    + [_scd_step(f"h{i}", f"h{i - 1}", f"dim{i}") for i in range(2, len(SNAPSHOT_CUTS) + 1)]
+)
+_LAST = f"h{len(SNAPSHOT_CUTS)}"
+
+ORACLE["I1_incremental_events"] = with_readings(INCREMENTAL_SELECT, INCREMENTAL_CTES)
+ORACLE["I5_scd2_history"] = with_readings(f"select * from {_LAST}", SCD2_CTES)
+ORACLE["I7_scd2_as_of"] = with_readings(
+    f"select * from {_LAST} where valid_from <= timestamp '{AS_OF}' and (valid_to is null or timestamp '{AS_OF}' < valid_to)",
+    SCD2_CTES,
+)
+ORACLE["I8_scd2_current"] = with_readings(f"select * from {_LAST} where valid_to is null", SCD2_CTES)
