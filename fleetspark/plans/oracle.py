@@ -332,3 +332,10 @@ ORACLE["I7_scd2_as_of"] = with_readings(
     SCD2_CTES,
 )
 ORACLE["I8_scd2_current"] = with_readings(f"select * from {_LAST} where valid_to is null", SCD2_CTES)
+
+# Through the binary archive: unset repeated fields come back empty, a missing tire reading as 0.
+ARCHIVE_SELECT = STAGING_SELECT.replace("tire_rear_right_kpa, check_engine_light", "coalesce(tire_rear_right_kpa, 0) as tire_rear_right_kpa, check_engine_light").replace(
+    "array_to_string(dtc_codes, ',') as dtc_codes, array_to_string(events, ',') as events",
+    "coalesce(array_to_string(dtc_codes, ','), '') as dtc_codes, coalesce(array_to_string(events, ','), '') as events",
+)
+ORACLE["A3_archive_roundtrip"] = with_readings(ARCHIVE_SELECT)
