@@ -339,3 +339,64 @@ ARCHIVE_SELECT = STAGING_SELECT.replace("tire_rear_right_kpa, check_engine_light
     "coalesce(array_to_string(dtc_codes, ','), '') as dtc_codes, coalesce(array_to_string(events, ','), '') as events",
 )
 ORACLE["A3_archive_roundtrip"] = with_readings(ARCHIVE_SELECT)
+
+CHANGELOG_CTES = """
+cl as (
+  select case when not coalesce(list_contains(events, 'HARSH_ACCELERATION'), false) then vehicle_id end as key,
+    case when not check_engine_light then coalesce(list_contains(events, 'SPEEDING'), false) end as paused,
+    case when not check_engine_light then recorded_at end as updated_at,
+    not check_engine_light as has_value,
+    kafka_offset as "offset"
+  from m
+),
+last as (
+  select *, row_number() over (partition by key order by "offset" desc) as rn from cl where key is not null
+)
+"""
+LATEST_STATE_SELECT = """
+select key, paused, updated_at, (select max("offset") from cl c where c.key = last.key) as "offset"
+from last where rn = 1 and has_value
+"""
+
+LAG_CTES = """
+hourly as (
+  select kafka_partition as partition, date_trunc('hour', recorded_at) as h,
+    min(kafka_offset) as min_off, max(kafka_offset) as max_off,
+    max(case when ingested_at < date_trunc('hour', recorded_at) + interval '1 hour' then kafka_offset end) as archive_off,
+    max(case when ingested_at + interval '10 minutes' < date_trunc('hour', recorded_at) + interval '1 hour' then kafka_offset end) as document_off
+  from raw group by kafka_partition, date_trunc('hour', recorded_at)
+),
+running as (
+  select epoch(h)::bigint + 3600 as t, partition,
+    min(min_off) over w as earliest, max(max_off) over w + 1 as "end",
+    max(archive_off) over w + 1 as archive_c, max(document_off) over w + 1 as document_c
+  from hourly
+  window w as (partition by partition order by h rows between unbounded preceding and current row)
+),
+commits as (
+  select t, 'protobuf-writer' as group_id, partition, archive_c as committed from running
+  union all
+  select t, 'elk-writer' as group_id, partition, document_c as committed from running
+),
+report as (
+  select c.t, c.group_id,
+    cast(sum(r."end") as bigint) as produced,
+    cast(sum(r."end" - r.earliest) as bigint) as retained,
+    cast(sum(coalesce(c.committed, 0)) as bigint) as consumed,
+    cast(sum(r."end" - coalesce(c.committed, r.earliest)) as bigint) as lag
+  from commits c join running r on c.t = r.t and c.partition = r.partition
+  group by c.t, c.group_id
+)
+"""
+RATES_SELECT = """
+select group_id, t,
+  round(case when t > first_value(t) over w then (produced - first_value(produced) over w) / (t - first_value(t) over w) else 0.0 end, 6) as produced_rate,
+  round(case when t > first_value(t) over w then (consumed - first_value(consumed) over w) / (t - first_value(t) over w) else 0.0 end, 6) as consumed_rate
+from report
+window w as (partition by group_id order by t range between 7200 preceding and current row)
+"""
+
+ORACLE["S10_latest_state"] = with_readings(LATEST_STATE_SELECT, CHANGELOG_CTES)
+ORACLE["S11_lag_report"] = with_readings("select * from report", LAG_CTES)
+ORACLE["S12_rates"] = with_readings(RATES_SELECT, LAG_CTES)
+ORACLE["S13_lag_history"] = with_readings("select * from report where t >= (select max(t) from report) - 600 * 60", LAG_CTES)

@@ -213,3 +213,61 @@ def q_archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["A3_archive_roundtrip"] = q_archive_roundtrip
+
+
+def control_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A compacted-topic changelog derived from ``events``: key per vehicle, tombstones, unkeyed records."""
+    events = load_messages(spark, sf_dir, redeliver=False).select("vehicle_id", "kafka_offset", "timestamp", "events", "check_engine_light")
+    value = F.when(
+        ~F.col("check_engine_light"),
+        F.struct(F.coalesce(F.array_contains("events", "SPEEDING"), F.lit(False)).alias("paused"), F.col("timestamp").alias("updated_at")),
+    )
+    key = F.when(~F.coalesce(F.array_contains("events", "HARSH_ACCELERATION"), F.lit(False)), F.col("vehicle_id"))
+    return events.select(key.alias("key"), value.alias("value"), F.col("kafka_offset").alias("offset"))
+
+
+def q_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest value per key of a compacted changelog; tombstones delete, NULL keys are ignored."""
+    from fleetspark.streaming.ingest import latest_state
+
+    latest = latest_state(control_changelog(spark, sf_dir))
+    return latest.select("key", F.col("value.paused").alias("paused"), F.col("value.updated_at").alias("updated_at"), "offset")
+
+
+def _lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fleetspark.streaming.monitoring import lag_report, offset_samples
+
+    samples, commits = offset_samples(load_messages(spark, sf_dir))
+    return lag_report(samples, commits)
+
+
+def q_lag_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly consumer-lag report per group."""
+    return _lag(spark, sf_dir)
+
+
+RATE_WINDOW_SECONDS = 7200
+
+
+def q_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Produced and consumed messages per second over a trailing window, per group."""
+    from fleetspark.streaming.monitoring import rates
+
+    r = rates(_lag(spark, sf_dir), ["produced", "consumed"], window_seconds=RATE_WINDOW_SECONDS)
+    return _round(r, ["produced_rate", "consumed_rate"])
+
+
+HISTORY_MINUTES = 600
+
+
+def q_lag_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lag report of the last minutes before the newest sample."""
+    from fleetspark.streaming.monitoring import lag_history
+
+    return lag_history(_lag(spark, sf_dir), HISTORY_MINUTES)
+
+
+QUERIES["S10_latest_state"] = q_latest_state
+QUERIES["S11_lag_report"] = q_lag_report
+QUERIES["S12_rates"] = q_rates
+QUERIES["S13_lag_history"] = q_lag_history
