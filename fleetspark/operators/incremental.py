@@ -30,7 +30,19 @@ from fleetspark.session import work_path
 BROADCAST_MAX_ROWS = 100_000
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked through the cluster's Hadoop file system (any scheme)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # no JVM access (e.g. a remote session): fall back to trying the read
+        return True
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException:
