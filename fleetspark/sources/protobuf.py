@@ -240,24 +240,59 @@ def _single(field, value):
     return value
 
 
+_PLANS: dict = {}
+
+
+def _plan(descriptor):
+    """Per message type, built once per process: (name, kind, converter) for every field."""
+    plan = _PLANS.get(descriptor.full_name)
+    if plan is None:
+        plan = []
+        for field in descriptor.fields:
+            if _is_map(field):
+                value_field = field.message_type.fields_by_name["value"]
+                plan.append((field.name, "map", lambda v, f=value_field: _single(f, v)))
+            elif _is_repeated(field):
+                plan.append((field.name, "repeated", _converter(field)))
+            elif field.message_type is not None:
+                plan.append((field.name, "message", _converter(field)))
+            else:
+                plan.append((field.name, "scalar", _converter(field)))
+        _PLANS[descriptor.full_name] = plan
+    return plan
+
+
+def _converter(field):
+    """A function from one protobuf value of ``field`` to its Spark-ready value (None = as is)."""
+    if field.enum_type is not None:
+        return lambda v, f=field: _enum_name(f, v)
+    if field.message_type is not None:
+        return lambda v, f=field: _single(f, v)
+    return None
+
+
 def to_row(msg, emit_defaults: bool = True) -> dict:
     """A parsed message as a dict of Spark-ready values."""
     out = {}
     present = None if emit_defaults else {f.name for f, _ in msg.ListFields()}
-    for field in msg.DESCRIPTOR.fields:
-        name = field.name
-        if _is_map(field):
-            m = getattr(msg, name)
-            out[name] = {k: _single(field.message_type.fields_by_name["value"], m[k]) for k in m} if (len(m) or emit_defaults) else None
-        elif _is_repeated(field):
+    for name, kind, conv in _plan(msg.DESCRIPTOR):
+        if kind == "scalar":
+            if present is not None and name not in present:
+                out[name] = None
+            else:
+                v = getattr(msg, name)
+                out[name] = v if conv is None else conv(v)
+        elif kind == "message":
+            out[name] = conv(getattr(msg, name)) if msg.HasField(name) else None
+        elif kind == "repeated":
             values = getattr(msg, name)
-            out[name] = [_single(field, v) for v in values] if (len(values) or emit_defaults) else None
-        elif field.message_type is not None:
-            out[name] = _single(field, getattr(msg, name)) if msg.HasField(name) else None
-        elif present is not None and name not in present:
-            out[name] = None
+            if len(values) or emit_defaults:
+                out[name] = list(values) if conv is None else [conv(v) for v in values]
+            else:
+                out[name] = None
         else:
-            out[name] = _single(field, getattr(msg, name))
+            m = getattr(msg, name)
+            out[name] = {k: conv(m[k]) for k in m} if (len(m) or emit_defaults) else None
     return out
 
 
