@@ -146,6 +146,16 @@ class Check:
     failing: Callable[[DataFrame], DataFrame]
 
 
+def count_failures(df: DataFrame, failing: Mapping[str, Column]) -> DataFrame:
+    """Row-level checks in one pass: ``failing`` maps a check name to the condition of a bad row.
+
+    One aggregation (a count per check) then one row per check: (check, failures).
+    """
+    agg = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in failing.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n in failing])
+    return agg.select(F.explode(pairs).alias("p")).select("p.check", "p.failures")
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check: name and number of failing rows (Q31: any query returning bad rows)."""
     counts = [c.failing(df).agg(F.count(F.lit(1)).alias("failures")).select(F.lit(c.name).alias("check"), "failures") for c in checks]

@@ -114,23 +114,34 @@ def q_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     fct = marts.vehicle_events(stg)
     dim = marts.dim_vehicles(stg)
     daily = marts.daily(stg)
-    checks = [
+    stg_rows = q.count_failures(
+        stg,
+        {
+            "stg_message_id_not_null": F.col("message_id").isNull(),
+            "stg_vehicle_id_not_null": F.col("vehicle_id").isNull(),
+            "stg_vehicle_type_accepted": ~F.col("vehicle_type").isin(ACCEPTED_VEHICLE_TYPES),
+            "stg_recorded_at_not_null": F.col("recorded_at").isNull(),
+            "stg_latitude_not_null": F.col("latitude").isNull(),
+            "stg_longitude_not_null": F.col("longitude").isNull(),
+            "stg_speed_not_negative": F.col("speed_kmh") < 0,
+            "stg_readings_over_limits": (F.col("speed_kmh") > 250) | (F.col("engine_temp_c") > 150),
+        },
+    )
+    fct_rows = q.count_failures(
+        fct,
+        {
+            "events_event_id_not_null": F.col("event_id").isNull(),
+            "events_event_type_accepted": ~F.col("event_type").isin(ACCEPTED_EVENT_TYPES),
+        },
+    )
+    table_checks = [
         ("stg_message_id_unique", q.check_unique(stg, "message_id")),
-        ("stg_message_id_not_null", q.check_not_null(stg, "message_id")),
-        ("stg_vehicle_id_not_null", q.check_not_null(stg, "vehicle_id")),
-        ("stg_vehicle_type_accepted", q.check_accepted_values(stg, "vehicle_type", ACCEPTED_VEHICLE_TYPES)),
-        ("stg_recorded_at_not_null", q.check_not_null(stg, "recorded_at")),
-        ("stg_latitude_not_null", q.check_not_null(stg, "latitude")),
-        ("stg_longitude_not_null", q.check_not_null(stg, "longitude")),
-        ("stg_speed_not_negative", stg.where(F.col("speed_kmh") < 0)),
         ("events_event_id_unique", q.check_unique(fct, "event_id")),
-        ("events_event_id_not_null", q.check_not_null(fct, "event_id")),
         ("events_vehicle_in_dim", q.check_relationship(fct, "vehicle_id", dim, "vehicle_id")),
-        ("events_event_type_accepted", q.check_accepted_values(fct, "event_type", ACCEPTED_EVENT_TYPES)),
         ("daily_unique_vehicle_day", q.check_unique_combination(daily, ["vehicle_id", "event_date"])),
-        ("stg_readings_over_limits", stg.where((F.col("speed_kmh") > 250) | (F.col("engine_temp_c") > 150))),
     ]
-    return q.run_checks(stg, [q.Check(name, (lambda _df, failing=failing: failing)) for name, failing in checks])
+    tables = q.run_checks(stg, [q.Check(name, (lambda _df, failing=failing: failing)) for name, failing in table_checks])
+    return stg_rows.unionByName(fct_rows).unionByName(tables)
 
 
 QUERIES["Q24_field_violations"] = q_field_violations
