@@ -100,7 +100,7 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     _write(df, path, "append", partition_by)
 
 
-def _swap_partitions(spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+def _swap_partitions(spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str]) -> str:
     staged = work_path(spark, "merge")
     _write(merged, staged, "overwrite", partition_by)
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -110,6 +110,7 @@ def _swap_partitions(spark: SparkSession, merged: DataFrame, path: str, partitio
         _write(spark.read.schema(merged.schema).parquet(staged), path, "overwrite", partition_by)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    return staged
 
 
 def insert_overwrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -132,16 +133,41 @@ def merge_upsert(spark: SparkSession, source: DataFrame, path: str, key: Sequenc
     _swap_partitions(spark, merged, path, partition_by)
 
 
+def _delete_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], values: list[tuple]) -> None:
+    """Removes partition folders (``col=value/...``) through the cluster's Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for vals in values:
+        sub = "/".join(f"{c}={v}" for c, v in zip(partition_by, vals))
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def replace_where(spark: SparkSession, source: DataFrame, path: str, condition: Column, partition_by: Sequence[str]) -> None:
-    """Delete target rows matching ``condition`` in the touched partitions, insert ``source`` rows (I4)."""
+    """Delete target rows matching ``condition``, insert ``source`` rows matching it (I4).
+
+    Only partitions holding a matching row (in the target or the source) are
+    rewritten; one left with no rows is removed. The list of such partitions
+    (one entry per partition value, not per row) is brought to the driver.
+    """
     target = read_if_exists(spark, path)
     src = source.where(condition)
     if target is None:
         _write(src, path, "overwrite", partition_by)
         return
-    touched = src.select(*partition_by).distinct().unionByName(target.where(condition).select(*partition_by).distinct()).distinct()
-    kept = target.join(touched, on=list(partition_by), how="left_semi").where(~F.coalesce(condition, F.lit(False)))
-    _swap_partitions(spark, kept.unionByName(src.select(*target.columns)), path, partition_by)
+    cols = list(partition_by)
+    touched_rows = src.select(*cols).unionByName(target.where(condition).select(*cols)).distinct().collect()
+    touched_values = [tuple(r) for r in touched_rows]
+    touched = spark.createDataFrame(touched_rows, target.select(*cols).schema)
+    kept = target.join(touched, on=cols, how="left_semi").where(~F.coalesce(condition, F.lit(False)))
+    merged = kept.unionByName(src.select(*target.columns))
+    staged = _swap_partitions(spark, merged, path, partition_by)
+    written = {tuple(r) for r in spark.read.schema(merged.schema).parquet(staged).select(*cols).distinct().collect()}
+    emptied = [v for v in touched_values if v not in written]
+    if emptied:
+        _delete_partitions(spark, path, cols, emptied)
 
 
 def incremental_events(spark: SparkSession, stg: DataFrame, path: str, full: bool = False) -> None:
