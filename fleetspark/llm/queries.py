@@ -34,10 +34,42 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    from fleetspark.llm.simhash import simhash_groups
+
+    return simhash_groups(_documents(spark, sf_dir)).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as wavelet shards and read back."""
+    import public_tokenizers
+
+    from fleetspark.llm.common import work_path
+    from fleetspark.llm.wavelet import read_shards, write_shards
+
+    path = work_path(spark, "wavelet")
+    write_shards(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_shards(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    import public_tokenizers
+
+    from fleetspark.llm.packing import pack
+
+    pieces = pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_mix_sources": op4_mix_sources,
+    "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_wavelet_tokens": op8_wavelet_tokens,
     "op9_quality_rules": op9_quality_rules,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {}
