@@ -30,11 +30,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet in the shared work folder and reads it back.
 
     This cuts the lineage: a lost executor costs only the tasks it ran, and no
-    later step computes ``df`` again.
+    later step computes ``df`` again. ``discard`` deletes it.
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.work_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``written`` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.work_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def where_computed(df: DataFrame, condition: Column) -> DataFrame:

@@ -34,6 +34,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that 100-byte strings starting earlier cover, removed."""
+    from fleetspark.llm.suffix_dedup import cut_repeats
+
+    cut = cut_repeats(_documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     from fleetspark.llm.simhash import simhash_groups
@@ -66,6 +75,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_mix_sources": op4_mix_sources,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_wavelet_tokens": op8_wavelet_tokens,
     "op9_quality_rules": op9_quality_rules,
