@@ -10,6 +10,24 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and chance of the best grade of every document; grades are toxic 0, poor 1, good 2."""
+    from fleetspark.llm.ordinal import grade_documents, train
+
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    grades = labels.select("doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1).alias("grade"))
+    graded = grade_documents(docs, train(docs, grades, 3))
+    return graded.withColumn("kept", F.col("expected_grade") >= 1.5)
+
+
+def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated paragraphs and passages of all documents, with the document that has each first."""
+    from fleetspark.llm.paragraphs import repeated_paragraphs
+
+    return repeated_paragraphs(_documents(spark, sf_dir)).withColumnRenamed("first_id", "first_doc_id")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base formats counted and hashed, all spans listed."""
     from fleetspark.llm.secret_scan import BASE_KINDS, secret_scan, span_text
@@ -43,6 +61,13 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    from fleetspark.llm.neighbours import nearest_neighbours
+
+    return nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     from fleetspark.llm.simhash import simhash_groups
@@ -73,9 +98,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ordinal_quality": op1_ordinal_quality,
+    "op2_paragraph_dedup": op2_paragraph_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_mix_sources": op4_mix_sources,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_collision_neighbours": op6_collision_neighbours,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_wavelet_tokens": op8_wavelet_tokens,
     "op9_quality_rules": op9_quality_rules,

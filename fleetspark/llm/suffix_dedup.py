@@ -13,11 +13,13 @@ significant first, and after each pass only groups of two or more go on:
     pass runs within a task's own documents before anything is shuffled, so a
     passage that a third of all documents share leaves one row per task.
 3.  What is left are first runs that share their first digit with other runs,
-    at the edges of copies and around edits. Their single windows are the last
-    digit; of equal ones all but the first are repeated.
+    at the edges of copies and around edits. They are cut into shorter runs, at
+    fixed distances from the least string, so that all windows of a shorter run
+    share more bytes: that core is the next first digit, and the passes go on
+    until runs are single windows, whose core is the window.
 
 Digits are 64-bit polynomial hashes with random coefficients for the bytes; two
-different windows count as equal if both their first and last digits collide.
+different windows count as equal only if the digits of all passes collide.
 """
 
 from __future__ import annotations
@@ -37,8 +39,9 @@ GRAM = 32
 BLOCK, CHUNK = 1 << 17, 24_000_000
 #: Rows without an id come after all others.
 NO_ID = (1 << 63) - 1
-RUNS = "akey bigint, ctx bigint, doc bigint, at bigint, known boolean"
-WINDOWS = "akey bigint, win bigint, doc bigint, at bigint"
+#: Windows in a run by pass; the first pass's runs have LENGTH - GRAM + 1 at most.
+WIDTHS = (16, 1)
+RUNS = "akey bigint, ctx bigint, doc bigint, at bigint"
 
 
 class Hashes:
@@ -76,7 +79,7 @@ def least_places(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, starts: np.ndarray, length: int, gram: int, hashes: Hashes) -> Iterator[tuple[np.ndarray, ...]]:
-    """Runs of windows in joined texts (``starts``: where each begins, and the end): first digit, second digit, first window, windows."""
+    """Runs of windows in joined texts (``starts``: where each begins, and the end): first digit, second digit, first window, windows, distance to the least string."""
     whole = np.ones(len(data), bool)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
         whole[max(a, b - length + 1) : b] = False
@@ -93,12 +96,12 @@ def runs(data: np.ndarray, starts: np.ndarray, length: int, gram: int, hashes: H
         count = np.diff(np.append(first, len(ok)))
         first, count = first[ok[first]], count[ok[first]]
         context = mixed((sums[first + count - 1 + length] - sums[first]) * hashes.inverse[first] + count.astype("uint64"))
-        yield grams[place[first]].view("int64"), context.view("int64"), first + at, count
+        yield grams[place[first]].view("int64"), context.view("int64"), first + at, count, place[first] - first
 
 
-def packed_at(start: np.ndarray, count: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    """Start in the document, number of windows and text's tag in one number that sorts by start."""
-    return start << 32 | count << 24 | tag
+def packed_at(start: np.ndarray, count: np.ndarray, ahead: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """A run in one number that sorts by start: its first window, windows, distance to the least string and text's tag."""
+    return start << 32 | count << 24 | ahead << 16 | tag
 
 
 def _merged(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -119,19 +122,18 @@ def _scan(length: int, gram: int):
         parts = list(runs(np.frombuffer(b"".join(texts), "u1"), starts, length, gram, hashes))
         if not parts:
             return
-        akey, ctx, first, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        akey, ctx, first, count, ahead = (np.concatenate(x) for x in zip(*parts, strict=True))
         of = np.searchsorted(starts, first, "right") - 1
         doc, start, tag = ids[of], first - starts[of], tag[of]
         order = np.lexsort((start, doc, ctx, akey))
-        akey, ctx, doc, start, count, tag = (x[order] for x in (akey, ctx, doc, start, count, tag))
+        akey, ctx, doc, start, count, ahead, tag = (x[order] for x in (akey, ctx, doc, start, count, ahead, tag))
         same = np.concatenate([[False], (akey[1:] == akey[:-1]) & (ctx[1:] == ctx[:-1])])
         head = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
         later = same & ((doc != doc[head]) | (start != start[head]))
-        go = ~same
-        yield pa.RecordBatch.from_arrays([pa.array(akey[go]), pa.array(ctx[go]), pa.array(doc[go]), pa.array(packed_at(start, count, tag)[go]), pa.array(np.zeros(go.sum(), bool))], ["akey", "ctx", "doc", "at", "known"])
-        again = same & ~later & (tag != tag[head])  # same id and start in another text: judged with the first's, never removed by it
-        if again.any():
-            yield pa.RecordBatch.from_arrays([pa.array(akey[again]), pa.array(ctx[again]), pa.array(doc[again]), pa.array(packed_at(start, count, tag)[again]), pa.array(np.zeros(again.sum(), bool))], ["akey", "ctx", "doc", "at", "known"])
+        # Same id and start in another text is no earlier: it goes on, but is never removed by the first.
+        go = ~same | ~later & (tag != tag[head])
+        at = packed_at(start, count, ahead, tag)
+        yield pa.RecordBatch.from_arrays([pa.array(x[go]) for x in (akey, ctx, doc, at)] + [pa.array(np.zeros(go.sum(), bool))], ["akey", "ctx", "doc", "at", "known"])
         if later.any():
             doc, tag, start, end = doc[later], tag[later], start[later], start[later] + count[later] - 1 + length
             order = np.lexsort((start, tag, doc))
@@ -157,10 +159,10 @@ def _scan(length: int, gram: int):
     return scan
 
 
-def _expand(length: int):
-    """Single windows of the runs listed with each text."""
+def _shorter(length: int, width: int):
+    """Cuts the runs listed with each text into runs of ``width`` windows: core, second digit, document and place."""
 
-    def expand(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shorter(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         most = 2 * length
         hashes = Hashes(11, most)
         for batch in rows:
@@ -170,20 +172,25 @@ def _expand(length: int):
             data = np.frombuffer(b"".join(texts.to_pylist()) + bytes(most), "u1")
             of = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy())
             flat = lists.flatten()
-            akey, at = flat.field("akey").to_numpy(), flat.field("at").to_numpy()
-            doc = batch.column("doc").to_numpy()[of]
-            start, count, tag = at >> 32, at >> 24 & 0xFF, at & 0xFFFFFF
-            for lo in range(0, len(at), 2048):
-                cut = slice(lo, lo + 2048)
-                sums = hashes.sums(data[(base[of[cut]] + start[cut])[:, None] + np.arange(most)])
-                win = mixed((sums[:, length : length + most // 2] - sums[:, : most // 2]) * hashes.inverse[: most // 2])
-                row, nth = np.nonzero(np.arange(most // 2) < count[cut][:, None])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(akey[cut][row]), pa.array(win[row, nth].view("int64")), pa.array(doc[cut][row]), pa.array(packed_at(start[cut][row] + nth, np.ones(len(row), "int64"), tag[cut][row]))],
-                    ["akey", "win", "doc", "at"],
-                )
-
-    return expand
+            akeys, ats, docs = flat.field("akey").to_numpy(), flat.field("at").to_numpy(), batch.column("doc").to_numpy()[of]
+            for lo in range(0, len(ats), 2048):
+                akey, at, doc, text = akeys[lo : lo + 2048], ats[lo : lo + 2048], docs[lo : lo + 2048], of[lo : lo + 2048]
+                start, count, ahead, tag = at >> 32, at >> 24 & 0xFF, at >> 16 & 0xFF, at & 0xFFFF
+                sums = hashes.sums(data[(base[text] + start)[:, None] + np.arange(most)])
+                high, low = ahead // width, (ahead - count + 1) // width
+                n = high - low + 1
+                row = np.repeat(np.arange(len(at)), n)
+                band = high[row] - (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))
+                first = np.maximum(0, ahead[row] - band * width - width + 1)
+                last = np.minimum(count[row] - 1, ahead[row] - band * width)
+                digest = lambda a, b, row=row, sums=sums: (sums[row, b] - sums[row, a]) * hashes.inverse[a]
+                begin = ahead[row] - band * width
+                core = mixed(digest(begin, begin - width + 1 + length) + mixed(akey[row].view("uint64") + band.astype("uint64")))
+                context = mixed(digest(first, last + length) + (last - first + 1).astype("uint64"))
+                place = packed_at(start[row] + first, last - first + 1, ahead[row] - first, tag[row])
+                yield pa.RecordBatch.from_arrays([pa.array(core.view("int64")), pa.array(context.view("int64")), pa.array(doc[row]), pa.array(place)], ["akey", "ctx", "doc", "at"])
+
+    return shorter
 
 
 def _cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,45 +229,50 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col:
     earlier: in a row with a smaller id, or earlier in the same row. Defined
     cases: a null text is empty; texts shorter than ``length`` stay whole;
     repeated rows (same id and text) count as one and get equal results; other
-    rows with equal ids are told apart by 24 bits of their texts' hash and none
+    rows with equal ids are told apart by 16 bits of their texts' hash and none
     of their strings is earlier for the id's sake; rows without an id come last;
     an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    keyed = keyed.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").bitwiseAND(0xFFFFFF).alias("tag"), "text")
-    scanned = written(keyed.select("doc", "tag", "text").mapInArrow(_scan(length, gram), RUNS), "repeat-runs")
+    keyed = keyed.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").bitwiseAND(0xFFFF).alias("tag"), "text")
+    scanned = written(keyed.select("doc", "tag", "text").mapInArrow(_scan(length, gram), RUNS + ", known boolean"), "repeat-runs")
     found = scanned.filter("not known").drop("known")
 
     # First digit: runs whose least string occurs again.
     twice = found.groupBy("akey").agg(F.count("*").alias("n")).filter("n > 1").select("akey")
-    alive = written(found.join(twice, "akey", "left_semi"), "repeat-digit1")
+    rows = written(found.join(twice, "akey", "left_semi"), "repeat-digit")
+    known = written(scanned.filter("known").select("doc", F.col("akey").alias("tag"), F.col("at").alias("s"), F.col("ctx").alias("e")), "repeat-known")
+    discard(scanned)
     release(spark)
-
-    # Second digit: equal runs.
-    first = alive.groupBy("akey", "ctx").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
-    first = written(first, "repeat-digit2")
-    copies = alive.join(first.filter("n > 1").drop("n"), ["akey", "ctx"]).filter(_later(F.col("doc"), F.col("at"), F.col("first")))
-    windows = F.shiftright("at", 24).bitwiseAND(0xFF)
-    copies = copies.select("doc", F.col("at").bitwiseAND(0xFFFFFF).alias("tag"), _start(F.col("at")).alias("s"), (_start(F.col("at")) + windows - 1 + length).alias("e"))
-    copies = written(copies, "repeat-copies")
-
-    # Last digit: single windows of first runs that differ but share their first digit.
-    mixed_keys = first.groupBy("akey").agg(F.count("*").alias("n")).filter("n > 1").select("akey")
-    open_runs = first.join(mixed_keys, "akey", "left_semi").select("akey", F.col("first.doc").alias("doc"), F.col("first.at").alias("at"))
-    listed = open_runs.groupBy("doc", F.col("at").bitwiseAND(0xFFFFFF).alias("tag")).agg(F.collect_list(F.struct("akey", "at")).alias("runs"))
-    texts = keyed.select("doc", "tag", "text").join(listed, ["doc", "tag"]).select("doc", "text", "runs")
-    single = written(texts.mapInArrow(_expand(length), WINDOWS), "repeat-windows")
-    release(spark)
-    least = single.groupBy("akey", "win").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    edges = single.join(least, ["akey", "win"]).filter(_later(F.col("doc"), F.col("at"), F.col("first")))
-    edges = edges.select("doc", F.col("at").bitwiseAND(0xFFFFFF).alias("tag"), _start(F.col("at")).alias("s"), (_start(F.col("at")) + length).alias("e"))
-
-    known = scanned.filter("known").select("doc", F.col("akey").alias("tag"), F.col("at").alias("s"), F.col("ctx").alias("e"))
-    spans = known.unionByName(copies).unionByName(edges).groupBy("doc", "tag").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    spans = written(spans, "repeat-spans")
-    discard(scanned, alive, first, copies, single)
+    spans = [known]
+    for width in (*WIDTHS, 0):
+        # Second digit: of equal runs all but the first are repeated.
+        first = rows.groupBy("akey", "ctx").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n"))
+        first = written(first, "repeat-first")
+        copies = rows.join(first.filter("n > 1").drop("n"), ["akey", "ctx"]).filter(_later(F.col("doc"), F.col("at"), F.col("first")))
+        windows = F.shiftright("at", 24).bitwiseAND(0xFF)
+        end = _start(F.col("at")) + windows - 1 + length
+        spans.append(written(copies.select("doc", F.col("at").bitwiseAND(0xFFFF).alias("tag"), _start(F.col("at")).alias("s"), end.alias("e")), "repeat-copies"))
+        discard(rows)
+        if not width:
+            discard(first)
+            break
+        # First runs that differ but share their first digit go on as shorter runs.
+        differ = first.groupBy("akey").agg(F.count("*").alias("n")).filter("n > 1").select("akey")
+        ongoing = first.join(differ, "akey", "left_semi").select("akey", F.col("first.doc").alias("doc"), F.col("first.at").alias("at"))
+        listed = ongoing.groupBy("doc", F.col("at").bitwiseAND(0xFFFF).alias("tag")).agg(F.collect_list(F.struct("akey", "at")).alias("runs"))
+        texts = keyed.select("doc", "tag", "text").join(listed, ["doc", "tag"]).select("doc", "text", "runs")
+        rows = written(texts.mapInArrow(_shorter(length, width), RUNS), "repeat-digit")
+        discard(first)
+        release(spark)
+
+    merged = spans[0]
+    for more in spans[1:]:
+        merged = merged.unionByName(more)
+    joined = written(merged.groupBy("doc", "tag").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "repeat-spans")
+    discard(*spans)
     release(spark)
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    rows = keyed.join(spans, ["doc", "tag"], "left").select("doc_id", "text", "spans")
+    rows = keyed.join(joined, ["doc", "tag"], "left").select("doc_id", "text", "spans")
     return rows.mapInArrow(_cut, f"doc_id {kind}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary").withColumnRenamed("doc_id", id_col)
