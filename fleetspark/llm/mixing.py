@@ -19,6 +19,8 @@ from fleetspark.llm.common import SPACE_RUN, text_or_empty, written
 
 HASH_BITS = 60
 LEVEL_BITS = 12
+#: Sources whose plan is broadcast at most (40 bytes each).
+MOST_BROADCAST = 200_000
 
 
 def word_count(text: Column) -> Column:
@@ -72,6 +74,37 @@ def _boundaries(sizes: DataFrame, budgets: DataFrame, level: int) -> DataFrame:
     return sums.select("sid", F.col("bucket").alias("prefix"), (F.col("left") - F.col("before")).alias("left"), "size", "n")
 
 
+def _plan(docs: DataFrame, weights: Sequence[float], share: float, most: float, seed: int, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame]:
+    """The table of sizes, and per source (sid) its size, target, whole rounds and the hash below which documents are taken once more."""
+    picked = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_or_empty(text_col)).alias("size"))
+    sizes = written(picked.withColumn("h", mix_hash(F.col("id"), seed)).withColumn("sid", source_key(F.col("source"))), "mix-sizes")
+    targets = written(source_targets(sizes, weights, share, most).withColumn("sid", source_key(F.col("source"))).coalesce(1), "mix-targets")
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    targets = targets.withColumn("rounds", whole.cast("long"))
+    found = written(targets.filter("source_size > 0").select("sid", F.lit(0).cast("long").alias("prefix"), (F.col("target") - F.col("rounds") * F.col("source_size")).alias("left")).coalesce(1), "mix-budgets")
+    ends = None
+    for level in range(HASH_BITS // LEVEL_BITS):
+        shift = HASH_BITS - LEVEL_BITS * (level + 1)
+        found = written(_boundaries(sizes, found.select("sid", "prefix", "left"), level), f"mix-level{level}")
+        last = shift == 0
+        done = found if last else found.filter("n = 1")
+        part = done.select("sid", F.shiftleft(F.col("prefix") + (2 * F.col("left") >= F.col("size")).cast("long"), shift).alias("below"))
+        ends = part if ends is None else ends.unionByName(part)
+        found = found.filter("n > 1")
+        if last or found.isEmpty():
+            break
+    return sizes, targets.join(ends, "sid", "left").select("sid", "source_size", "target", "rounds", "below")
+
+
+def source_key(source: Column) -> Column:
+    """A source's 64-bit key; null is a source of its own."""
+    return F.xxhash64(source.isNull(), source)
+
+
+def _copies(h: Column) -> Column:
+    return F.col("rounds") + F.coalesce((h < F.col("below")).cast("long"), F.lit(0).cast("long"))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -92,27 +125,9 @@ def mix_sources(
     columns are ignored, whatever their names. Reruns agree, as hashes depend
     on the id and the seed alone.
     """
-    picked = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_or_empty(text_col)).alias("size"))
-    sid = F.xxhash64(F.col("source").isNull(), F.col("source"))
-    sizes = written(picked.withColumn("h", mix_hash(F.col("id"), seed)).withColumn("sid", sid), "mix-sizes")
-    targets = written(source_targets(sizes, weights, share, most).withColumn("sid", sid).coalesce(1), "mix-targets")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    targets = targets.withColumn("rounds", whole.cast("long"))
-    found = written(targets.filter("source_size > 0").select("sid", F.lit(0).cast("long").alias("prefix"), (F.col("target") - F.col("rounds") * F.col("source_size")).alias("left")).coalesce(1), "mix-budgets")
-    ends = None
-    for level in range(HASH_BITS // LEVEL_BITS):
-        shift = HASH_BITS - LEVEL_BITS * (level + 1)
-        found = written(_boundaries(sizes, found.select("sid", "prefix", "left"), level), f"mix-level{level}")
-        last = shift == 0
-        done = found if last else found.filter("n = 1")
-        part = done.select("sid", F.shiftleft(F.col("prefix") + (2 * F.col("left") >= F.col("size")).cast("long"), shift).alias("below"))
-        ends = part if ends is None else ends.unionByName(part)
-        found = found.filter("n > 1")
-        if last or found.isEmpty():
-            break
-    out = sizes.join(targets.join(ends, "sid", "left").select("sid", "source_size", "target", "rounds", "below"), "sid")
-    copies = F.col("rounds") + F.coalesce((F.col("h") < F.col("below")).cast("long"), F.lit(0).cast("long"))
-    return out.select(
+    sizes, plan = _plan(docs, weights, share, most, seed, id_col, text_col, source_col)
+    copies = _copies(F.col("h"))
+    return sizes.join(plan, "sid").select(
         F.col("id").alias(id_col),
         "size",
         "source_size",
@@ -120,3 +135,31 @@ def mix_sources(
         (F.col("size") * copies).alias("taken"),
         copies.alias("copies"),
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: int = 42,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the mix takes it, with all its columns.
+
+    Texts stay where they are as long as the plan, one row of 40 bytes per
+    source, is small enough to broadcast (its rows are counted); beyond that it
+    is joined by a shuffle.
+    """
+    _, plan = _plan(docs, weights, share, most, seed, id_col, text_col, source_col)
+    plan = written(plan.select(F.col("sid").alias("_sid"), F.col("rounds").alias("_r"), F.col("below").alias("_b")).coalesce(1), "mix-plan")
+    names = docs.columns
+    temp = [f"c{i}" for i in range(len(names))]
+    at = dict(zip(names, temp, strict=True))
+    rows = docs.toDF(*temp).withColumn("_sid", source_key(F.col(at[source_col]).cast("string")))
+    plan = F.broadcast(plan) if plan.count() <= MOST_BROADCAST else plan
+    copies = F.col("_r") + F.coalesce((mix_hash(F.col(at[id_col]), seed) < F.col("_b")).cast("long"), F.lit(0).cast("long"))
+    rows = rows.join(plan, "_sid").withColumn("_n", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+    return rows.select(*temp).toDF(*names)

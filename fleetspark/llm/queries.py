@@ -18,7 +18,7 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     grades = labels.select("doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1).alias("grade"))
     graded = grade_documents(docs, train(docs, grades, 3))
-    return graded.withColumn("kept", F.col("expected_grade") >= 1.5)
+    return graded.withColumn("kept", F.col("expected_grade") >= 1.2)
 
 
 def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
