@@ -16,8 +16,26 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-#: Texts that are not cut: other characters than ASCII and Latin letters, white space that is not single, strings like special tokens.
-NOT_PLAIN = re.compile(r"[^\n -~À-ÖØ-öø-ÿ]|[\n ][\n ]|^[\n ]|[\n ]\Z|<\|")
+#: Bytes of Latin-1 that plain texts are made of: line breaks, printable ASCII and letters.
+PLAIN_BYTES = bytes([10, *range(32, 127), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
+#: What plain texts do not hold: white space that is not single, and strings like special tokens.
+NOT_PLAIN = ("  ", "\n\n", " \n", "\n ", "<|")
+
+
+def is_plain(text: str) -> bool:
+    """Whether a text may be cut at its spaces and line breaks."""
+    if text.isascii():
+        raw = text.encode("ascii")
+    else:
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+    if raw.translate(None, PLAIN_BYTES) or text[0] in " \n" or text[-1] in " \n":
+        return False
+    return not any(x in text for x in NOT_PLAIN)
+
+
 #: Pieces and words kept per worker, some 200 bytes each.
 MOST_PIECES = 500_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -62,14 +80,17 @@ class Encoder:
 
     def _cut(self, text: str) -> list[str]:
         """Pieces of a plain text; for "byte", a carriage return or line break marks those without a space before them."""
-        if not text or NOT_PLAIN.search(text):
+        if not text or not is_plain(text):
             return []
         return ("\r" + text).replace("\n", " \n").split(" ") if self.bytewise else text.lower().split()
 
     def _word(self, word: str) -> bytes:
         got = self.known_words.get(word)
         if got is None:
-            shown = word.encode().decode("latin-1").translate(self.letters)
+            if word.isascii():  # printable, as texts are plain: only the space and the line break have other letters
+                shown = word.replace(" ", self.letters[32]).replace("\n", self.letters[10])
+            else:
+                shown = word.encode().decode("latin-1").translate(self.letters)
             got = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
             self.known_words[word] = got
         return got
@@ -87,19 +108,17 @@ class Encoder:
         known, out, odd = self.known, [], []
         for k, text in enumerate(texts):
             pieces = self._cut(text)
-            got = list(map(known.get, pieces))
-            if None in got:
-                for i, g in enumerate(got):
-                    if g is None:
-                        x = pieces[i]
-                        if x not in known:
-                            known[x] = self._piece(x)
-                        got[i] = known[x]
-            out.append(b"".join(got))
+            try:
+                ids = b"".join(map(known.__getitem__, pieces))
+            except KeyError:
+                for x in set(pieces).difference(known):
+                    known[x] = self._piece(x)
+                ids = b"".join(map(known.__getitem__, pieces))
+            out.append(ids)
             if text and not pieces:
                 odd.append(k)
-        for k, ids in zip(odd, self._ids([texts[k] for k in odd]), strict=True):
-            out[k] = ids
+        for k, got in zip(odd, self._ids([texts[k] for k in odd]), strict=True):
+            out[k] = got
         return out
 
 
