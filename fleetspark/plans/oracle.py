@@ -11,9 +11,9 @@ from __future__ import annotations
 READINGS_CTE = """
 e as (select *, cast(regexp_extract(props, '([0-9]+)', 1) as int) as k from events),
 m as (select
-  '00000000-0000-4000-8000-' || lpad(cast(event_id as varchar), 12, '0') as message_id,
-  'vehicle-' || lpad(cast(user_id as varchar), 3, '0') as vehicle_id,
-  'TESTVIN' || lpad(cast(user_id as varchar), 10, '0') as vin,
+  '00000000-0000-4000-8000-' || lpad(cast(event_id as varchar), greatest(12, length(cast(event_id as varchar))), '0') as message_id,
+  'vehicle-' || lpad(cast(user_id as varchar), greatest(3, length(cast(user_id as varchar))), '0') as vehicle_id,
+  'TESTVIN' || lpad(cast(user_id as varchar), greatest(10, length(cast(user_id as varchar))), '0') as vin,
   case user_id % 4 when 0 then 'CAR' when 1 then 'VAN' when 2 then 'TRUCK' else 'BUS' end as vehicle_type,
   ts as recorded_at,
   59.3293 + cast(k as double) * 0.001 as latitude,

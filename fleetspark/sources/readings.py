@@ -29,7 +29,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lpad_id(c: str, width: int) -> Column:
-    return F.lpad(F.col(c).cast("string"), width, "0")
+    """An id padded to ``width``; longer ids keep all their digits."""
+    text = F.col(c).cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
 def telemetry_messages(events: DataFrame, redeliver: bool = True) -> DataFrame:
