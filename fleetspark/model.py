@@ -110,4 +110,3 @@ STAGING_COLUMNS = [
 ]
 
 # Kafka coordinates carried next to each decoded message.
-KAFKA_COLUMNS = ["kafka_partition", "kafka_offset", "kafka_timestamp", "ingested_at"]

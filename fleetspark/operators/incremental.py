@@ -19,15 +19,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from fleetspark.session import work_path
+from fleetspark.session import discard_path, work_path
 
 # A watermark table larger than this is joined, not broadcast.
 BROADCAST_MAX_ROWS = 100_000
+# Partition values that a merge turns into a literal filter at most.
+LITERAL_PARTITIONS = 1_000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -78,22 +81,21 @@ def dedup_on_key(df: DataFrame, key: Sequence[str], order: Sequence[Column] | No
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str]) -> None:
-    writer = df.write.mode(mode)
+def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], replace: str = "static") -> None:
+    """``replace``: an overwrite replaces the whole table ("static") or the partitions in ``df`` ("dynamic").
+
+    Rows of a partition are brought together first, large partitions staying
+    split, so that a write leaves few files per partition.
+    """
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", replace)
     writer.parquet(path)
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Rebuild the whole table."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-    try:
-        _write(df, path, "overwrite", partition_by)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    """Rebuild the whole table (I3, A10): partitions that ``df`` no longer holds go."""
+    _write(df, path, "overwrite", partition_by)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -101,44 +103,70 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def _swap_partitions(spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+    """Writes the merged partitions to the work folder, then over the target's; returns the work table's path."""
     staged = work_path(spark, "merge")
     _write(merged, staged, "overwrite", partition_by)
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # An explicit schema: an empty merge leaves no files, and then there is nothing to replace.
-        _write(spark.read.schema(merged.schema).parquet(staged), path, "overwrite", partition_by)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    # An explicit schema: an empty merge leaves no files, and then there is nothing to replace.
+    _write(spark.read.schema(merged.schema).parquet(staged), path, "overwrite", partition_by, replace="dynamic")
     return staged
 
 
 def insert_overwrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace every partition present in ``df`` (I4)."""
-    _swap_partitions(df.sparkSession, df, path, partition_by)
+    discard_path(df.sparkSession, _swap_partitions(df.sparkSession, df, path, partition_by))
+
+
+def _equal(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Join condition on equal columns, where NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def _in_partitions(target: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Target rows of the touched partitions.
+
+    Up to ``LITERAL_PARTITIONS`` values of a single partition column become a
+    literal filter, which prunes folders for certain; more are joined.
+    """
+    if len(partition_by) == 1:
+        column = partition_by[0]
+        values = [r[0] for r in touched.limit(LITERAL_PARTITIONS + 1).collect()]
+        if len(values) <= LITERAL_PARTITIONS:
+            known = [v for v in values if v is not None]
+            hit = F.col(column).isin(known) if known else F.lit(False)
+            return target.where(hit | F.col(column).isNull() if None in values else hit)
+    return target.join(touched, _equal(target, touched, partition_by), "left_semi")
 
 
 def merge_upsert(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str]) -> None:
-    """Upsert ``source`` into the parquet table at ``path`` on ``key``."""
-    key = list(key)
-    src = dedup_on_key(source, key)
+    """Upsert ``source`` into the parquet table at ``path`` on ``key``.
+
+    The source is computed once, into the work folder. Keys and partition
+    values may be NULL; NULL equals NULL.
+    """
+    key, partition_by = list(key), list(partition_by)
     target = read_if_exists(spark, path)
+    once = work_path(spark, "merge-source")
+    deduplicated = dedup_on_key(source, key)
+    deduplicated.write.parquet(once)
+    src = spark.read.schema(deduplicated.schema).parquet(once)
     if target is None:
         _write(src, path, "overwrite", partition_by)
-        return
-    touched = src.select(*partition_by).distinct()
-    in_touched = target.join(touched, on=list(partition_by), how="left_semi")
-    kept = in_touched.join(src.select(*key), on=key, how="left_anti")
-    merged = kept.unionByName(src.select(*target.columns))
-    _swap_partitions(spark, merged, path, partition_by)
+    else:
+        kept = _in_partitions(target, src.select(*partition_by).distinct(), partition_by)
+        keys = src.select(*[F.col(c).alias(f"_{c}") for c in key])
+        same = reduce(lambda a, b: a & b, [kept[c].eqNullSafe(keys[f"_{c}"]) for c in key])
+        merged = kept.join(keys, same, "left_anti").unionByName(src.select(*target.columns))
+        discard_path(spark, _swap_partitions(spark, merged, path, partition_by))
+    discard_path(spark, once)
 
 
 def _delete_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], values: list[tuple]) -> None:
     """Removes partition folders (``col=value/...``) through the cluster's Hadoop file system."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
     for vals in values:
-        sub = "/".join(f"{c}={v}" for c, v in zip(partition_by, vals))
+        sub = "/".join(name(c, None if v is None else str(v)) for c, v in zip(partition_by, vals))
         p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
         fs = p.getFileSystem(conf)
         if fs.exists(p):
@@ -149,8 +177,7 @@ def replace_where(spark: SparkSession, source: DataFrame, path: str, condition:
     """Delete target rows matching ``condition``, insert ``source`` rows matching it (I4).
 
     Only partitions holding a matching row (in the target or the source) are
-    rewritten; one left with no rows is removed. The list of such partitions
-    (one entry per partition value, not per row) is brought to the driver.
+    rewritten; one left with no rows is removed.
     """
     target = read_if_exists(spark, path)
     src = source.where(condition)
@@ -158,16 +185,14 @@ def replace_where(spark: SparkSession, source: DataFrame, path: str, condition:
         _write(src, path, "overwrite", partition_by)
         return
     cols = list(partition_by)
-    touched_rows = src.select(*cols).unionByName(target.where(condition).select(*cols)).distinct().collect()
-    touched_values = [tuple(r) for r in touched_rows]
-    touched = spark.createDataFrame(touched_rows, target.select(*cols).schema)
-    kept = target.join(touched, on=cols, how="left_semi").where(~F.coalesce(condition, F.lit(False)))
+    touched = src.select(*cols).unionByName(target.where(condition).select(*cols)).distinct()
+    kept = _in_partitions(target, touched, cols).where(~F.coalesce(condition, F.lit(False)))
     merged = kept.unionByName(src.select(*target.columns))
-    staged = _swap_partitions(spark, merged, path, partition_by)
-    written = {tuple(r) for r in spark.read.schema(merged.schema).parquet(staged).select(*cols).distinct().collect()}
-    emptied = [v for v in touched_values if v not in written]
-    if emptied:
-        _delete_partitions(spark, path, cols, emptied)
+    # Partitions that lose all their rows are found before anything is replaced; only these reach the driver.
+    left = merged.select(*cols).distinct()
+    emptied = [tuple(r) for r in touched.join(left, _equal(touched, left, cols), "left_anti").collect()]
+    discard_path(spark, _swap_partitions(spark, merged, path, partition_by))
+    _delete_partitions(spark, path, cols, emptied)
 
 
 def incremental_events(spark: SparkSession, stg: DataFrame, path: str, full: bool = False) -> None:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.model import STAGING_COLUMNS
+from fleetspark.session import work_path
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -88,17 +89,12 @@ def with_previous(
     value: str,
     out: str,
     bucket: str = "hour",
-    carry_source: DataFrame | None = None,
 ) -> DataFrame:
     """``lag(value) over (partition by key order by *order)``, split by time bucket.
 
     ``order[0]`` must be a timestamp; ``bucket`` is a ``date_trunc`` unit. Rows
     are windowed per (key, bucket); the first row of a bucket gets the last
     ``value`` of the key's previous non-empty bucket.
-
-    ``carry_source`` may be a frame with more copies of the same rows (the
-    input before de-duplication): the per-bucket last value is the same, and
-    reading it there keeps the de-duplication shuffle from running twice.
     """
     ts = order[0]
     ordering = [F.col(c).asc_nulls_first() for c in order]
@@ -106,17 +102,16 @@ def with_previous(
     w = Window.partitionBy(key, "_bucket").orderBy(*ordering)
     inner = b.withColumn("_prev", F.lag(value).over(w)).withColumn("_pos", F.row_number().over(w))
 
-    src = b if carry_source is None else carry_source.withColumn("_bucket", F.date_trunc(bucket, F.col(ts)))
-    last = src.groupBy(key, "_bucket").agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_last"))
+    last = b.groupBy(key, "_bucket").agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_last"))
     carry = last.select(
         key,
         "_bucket",
         F.lag("_last").over(Window.partitionBy(key).orderBy(F.col("_bucket").asc_nulls_first())).alias("_carry"),
     )
-    joined = inner.join(carry, on=[key, "_bucket"], how="left")
-    # join on a NULL bucket never matches; a NULL bucket is the first one, so its carry is NULL anyway.
+    carry = carry.withColumnsRenamed({key: "_key", "_bucket": "_at"})
+    joined = inner.join(carry, inner[key].eqNullSafe(carry["_key"]) & inner["_bucket"].eqNullSafe(carry["_at"]), "left")
     prev = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_prev"))
-    return joined.withColumn(out, prev).drop("_bucket", "_prev", "_pos", "_carry")
+    return joined.withColumn(out, prev).drop("_bucket", "_prev", "_pos", "_carry", "_key", "_at")
 
 
 def distance_rule(current: Column, previous: Column, lower: float = 0, upper: float = 1) -> Column:
@@ -131,17 +126,19 @@ def with_distance(
     bucket: str = "hour",
     lower: float = 0,
     upper: float = 1,
-    carry_source: DataFrame | None = None,
 ) -> DataFrame:
-    prev = with_previous(
-        df, key, ["recorded_at", "message_id"], "odometer_km", "previous_odometer_km", bucket=bucket, carry_source=carry_source
-    )
+    prev = with_previous(df, key, ["recorded_at", "message_id"], "odometer_km", "previous_odometer_km", bucket=bucket)
     return prev.withColumn("distance_km", distance_rule(F.col("odometer_km"), F.col("previous_odometer_km"), lower, upper))
 
 
 def stage_readings(decoded: DataFrame, bucket: str = "hour") -> DataFrame:
-    """Decoded messages -> staging readings (M7): flatten, first copy per message, distance."""
-    flat = flatten_readings(decoded)
-    deduped = dedup_first(flat)
-    # Redelivered copies carry the same message, so the per-bucket carry can be read before de-duplication.
-    return with_distance(deduped, bucket=bucket, carry_source=flat).select(*STAGING_COLUMNS)
+    """Decoded messages -> staging readings (M7): flatten, first copy per message, distance.
+
+    The copies kept are written to the work folder once: the distance reads
+    them twice, and neither read decodes or shuffles the messages again.
+    """
+    first = dedup_first(flatten_readings(decoded))
+    path = work_path(decoded.sparkSession, "first-copies")
+    first.write.parquet(path)
+    kept = decoded.sparkSession.read.schema(first.schema).parquet(path)
+    return with_distance(kept, bucket=bucket).select(*STAGING_COLUMNS)

@@ -11,9 +11,9 @@ from __future__ import annotations
 READINGS_CTE = """
 e as (select *, cast(regexp_extract(props, '([0-9]+)', 1) as int) as k from events),
 m as (select
-  '00000000-0000-4000-8000-' || lpad(cast(event_id as varchar), greatest(12, length(cast(event_id as varchar))), '0') as message_id,
-  'vehicle-' || lpad(cast(user_id as varchar), greatest(3, length(cast(user_id as varchar))), '0') as vehicle_id,
-  'TESTVIN' || lpad(cast(user_id as varchar), greatest(10, length(cast(user_id as varchar))), '0') as vin,
+  '00000000-0000-4000-8000-' || lpad(cast(event_id as varchar), cast(greatest(12, length(cast(event_id as varchar))) as int), '0') as message_id,
+  'vehicle-' || lpad(cast(user_id as varchar), cast(greatest(3, length(cast(user_id as varchar))) as int), '0') as vehicle_id,
+  'TESTVIN' || lpad(cast(user_id as varchar), cast(greatest(10, length(cast(user_id as varchar))) as int), '0') as vin,
   case user_id % 4 when 0 then 'CAR' when 1 then 'VAN' when 2 then 'TRUCK' else 'BUS' end as vehicle_type,
   ts as recorded_at,
   59.3293 + cast(k as double) * 0.001 as latitude,
@@ -404,3 +404,20 @@ ORACLE["S13_lag_history"] = with_readings("select * from report where t >= (sele
 ORACLE["S6_stream_dedup"] = with_readings("select message_id, vehicle_id, recorded_at, kafka_partition, kafka_offset from dedup")
 ORACLE["S9_stream_distance"] = with_readings("select message_id, vehicle_id, previous_odometer_km, distance_km from stg")
 # A8_documents: no SQL oracle (JSON text formatting differs between engines); checked by row count and pytest.
+
+ORACLE["A8_documents"] = with_readings("""
+select m.message_id as id, 'vehicle-telemetry-' || strftime(m.recorded_at, '%Y.%m.%d') as index,
+  m.kafka_partition, m.kafka_offset, 'vehicle-telemetry' as topic, m.kafka_offset as json_offset,
+  m.recorded_at as json_timestamp, m.vehicle_type, coalesce(m.speed_kmh, 0) as speed_kmh, coalesce(m.gear, 0) as gear,
+  m.event_type_is_error as check_engine_light, coalesce(m.tire_rear_right_kpa, 0) as rear_right,
+  coalesce(array_to_string(m.dtc_codes, ','), '') as dtc_codes, coalesce(array_to_string(m.events, ','), '') as events
+from (select *, coalesce(check_engine_light, false) as event_type_is_error from m) m
+""")
+ORACLE["A6_archive_append"] = with_readings("select message_id, count(*) as deliveries from raw group by message_id")
+ORACLE["I2_merge_null_partition"] = with_readings("""
+select message_id, kafka_offset, case when kafka_offset % 5 <> 0 then event_date end as event_date,
+  cast(if(kafka_offset % 3 = 0, 1, 2) as int) as version
+from dedup
+""")
+ORACLE["A10_full_rebuild"] = with_readings("select message_id, event_date from dedup where day(event_date) % 2 = 1")
+ORACLE["E3_previous_reading"] = with_readings("select message_id, previous_odometer_km, distance_km from stg")

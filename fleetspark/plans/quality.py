@@ -197,6 +197,6 @@ def publish_if_valid(
     if passed:
         writer = spark.read.parquet(staged).write.mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
         writer.parquet(path)
     return {"published": passed, "rows": int(metrics.get("_rows") or 0), "failures": failures, "staged": staged}

@@ -286,12 +286,16 @@ QUERIES["S13_lag_history"] = q_lag_history
 
 # Streaming runs: the derived input arrives as three chunks in event-time order, each processed by
 # its own availableNow run (one micro-batch per chunk, distributed like any batch job).
-STREAM_CHUNK_DAYS = (11, 21)
+STREAM_CHUNKS = 3
 
 
-def _chunk(col: str) -> F.Column:
-    day = F.dayofmonth(F.col(col))
-    return F.when(day < STREAM_CHUNK_DAYS[0], 0).when(day < STREAM_CHUNK_DAYS[1], 1).otherwise(2)
+def _chunk(df: DataFrame, col: str) -> F.Column:
+    """Equal parts of the time that the column spans; rows without a time come first."""
+    ends = df.agg(F.min(F.unix_micros(F.col(col).cast("timestamp"))).alias("a"), F.max(F.unix_micros(F.col(col).cast("timestamp"))).alias("b")).first()
+    if ends.a is None:
+        return F.lit(0)
+    part = (F.unix_micros(F.col(col).cast("timestamp")) - ends.a) * STREAM_CHUNKS / (ends.b - ends.a + 1)
+    return F.coalesce(F.floor(part).cast("int"), F.lit(0))
 
 
 def _feed_in_chunks(spark: SparkSession, df: DataFrame, chunk: F.Column, name: str, run) -> None:
@@ -304,7 +308,7 @@ def _feed_in_chunks(spark: SparkSession, df: DataFrame, chunk: F.Column, name: s
     src = work_path(spark, f"{name}-src")
     data = materialize(df.withColumn("_chunk", chunk))
     schema = data.drop("_chunk").schema
-    for c in range(3):
+    for c in range(STREAM_CHUNKS):
         data.where(F.col("_chunk") == c).drop("_chunk").write.mode("append").parquet(src)
         run(spark.readStream.schema(schema).parquet(src))
 
@@ -319,7 +323,8 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(stream: DataFrame) -> None:
         upsert_stream(stream_dedup(stream, delay="7 days"), out, ckpt, ["message_id"], ["event_date"]).awaitTermination()
 
-    _feed_in_chunks(spark, flatten_readings(load_messages(spark, sf_dir)), _chunk("ingested_at"), "dedup", run)
+    readings = flatten_readings(load_messages(spark, sf_dir))
+    _feed_in_chunks(spark, readings, _chunk(readings, "ingested_at"), "dedup", run)
     return spark.read.parquet(out).select("message_id", "vehicle_id", "recorded_at", "kafka_partition", "kafka_offset")
 
 
@@ -336,12 +341,12 @@ def q_stream_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
         writer.trigger(availableNow=True).start().awaitTermination()
 
     readings = dedup_first(flatten_readings(load_messages(spark, sf_dir)))
-    _feed_in_chunks(spark, readings, _chunk("recorded_at"), "dist", run)
+    _feed_in_chunks(spark, readings, _chunk(readings, "recorded_at"), "dist", run)
     return spark.read.parquet(out).select("message_id", "vehicle_id", "previous_odometer_km", "distance_km")
 
 
 def q_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search documents of every delivered message, upserted by id into daily indexes."""
+    """Search documents of every delivered message, upserted by id into daily indexes (A8, S3, S4), read back from their JSON."""
     from fleetspark.session import work_path
     from fleetspark.streaming.ingest import to_documents, upsert_documents
 
@@ -349,9 +354,79 @@ def q_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = to_documents(load_messages(spark, sf_dir))
     upsert_documents(spark, docs, path)
     upsert_documents(spark, docs, path)  # redelivery / replay: same documents
-    return spark.read.parquet(path)
+    stored = spark.read.parquet(path)
+    text = lambda p: F.get_json_object("document", f"$.{p}")
+    names = lambda p: F.array_join(F.from_json(text(p), "array<string>"), ",")
+    return stored.select(
+        "id",
+        "index",
+        "kafka_partition",
+        "kafka_offset",
+        text("kafka.topic").alias("topic"),
+        text("kafka.offset").cast("bigint").alias("json_offset"),
+        text("timestamp").cast("timestamp").cast("timestamp_ntz").alias("json_timestamp"),
+        text("vehicle_type").alias("vehicle_type"),
+        text("speed_kmh").cast("double").alias("speed_kmh"),
+        text("gear").cast("int").alias("gear"),
+        text("check_engine_light").cast("boolean").alias("check_engine_light"),
+        text("tire_pressure_kpa.rear_right").cast("double").alias("rear_right"),
+        names("dtc_codes").alias("dtc_codes"),
+        names("events").alias("events"),
+    )
+
+
+def q_archive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries per message after two writers wrote one archive (A6): none is lost."""
+    from fleetspark.session import work_path
+    from fleetspark.sources.archive import telemetry_archive, to_kafka_records, write_archive
+
+    path = work_path(spark, "archive-append")
+    messages = load_messages(spark, sf_dir)
+    for part in (0, 1):
+        write_archive(to_kafka_records(messages.where(F.col("kafka_offset") % 2 == part)), path)
+    return telemetry_archive(spark, path).groupBy("message_id").agg(F.count("*").alias("deliveries"))
+
+
+def q_merge_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into partitions, one of which has no date (C3, I2): rows the source lacks stay."""
+    from fleetspark.operators.incremental import merge_upsert
+    from fleetspark.operators.staging import dedup_first
+    from fleetspark.session import work_path
+
+    readings = dedup_first(flatten_readings(load_messages(spark, sf_dir)))
+    day = F.when(F.col("kafka_offset") % 5 != 0, F.col("event_date"))
+    rows = readings.select("message_id", "kafka_offset", day.alias("event_date"))
+    path = work_path(spark, "merge-null")
+    turn = F.col("kafka_offset") % 3
+    merge_upsert(spark, rows.where(turn < 2).withColumn("version", F.lit(1)), path, ["message_id"], ["event_date"])
+    merge_upsert(spark, rows.where(turn > 0).withColumn("version", F.lit(2)), path, ["message_id"], ["event_date"])
+    return spark.read.parquet(path).select("message_id", "kafka_offset", "event_date", "version")
+
+
+def q_full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published twice (A10): dates that the second run lacks are gone."""
+    from fleetspark.plans.quality import publish_if_valid
+    from fleetspark.session import work_path
+
+    readings = staging(spark, sf_dir).select("message_id", "event_date")
+    path = work_path(spark, "rebuild")
+    for run in (readings, readings.where(F.dayofmonth("event_date") % 2 == 1)):
+        publish_if_valid(spark, run, {}, path, partition_by=["event_date"])
+    return spark.read.parquet(path).select("message_id", "event_date")
+
+
+def q_previous_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous odometer and distance when redelivered copies differ (E3): only the first copy counts."""
+    late = F.col("ingested_at") > F.col("timestamp") + F.expr("interval 1 minute")
+    odometer = F.col("odometer_km") + F.when(late, 1000.0).otherwise(0.0)
+    messages = load_messages(spark, sf_dir).withColumn("odometer_km", odometer)
+    return stage_readings(messages).select("message_id", "previous_odometer_km", "distance_km")
 
 
 QUERIES["S6_stream_dedup"] = q_stream_dedup
 QUERIES["S9_stream_distance"] = q_stream_distance
 QUERIES["A8_documents"] = q_documents
+QUERIES["A6_archive_append"] = q_archive_append
+QUERIES["I2_merge_null_partition"] = q_merge_null_partition
+QUERIES["A10_full_rebuild"] = q_full_rebuild
+QUERIES["E3_previous_reading"] = q_previous_reading

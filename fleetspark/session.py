@@ -20,15 +20,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Dynamic overwrite replaces only the partitions a merge touches.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "fleetspark") -> SparkSession:
-    """A session with the settings every job here relies on (UTC, AQE, dynamic overwrite)."""
+    """A session with the settings every job here relies on (UTC, AQE)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -55,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="fleetspark-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
@@ -69,13 +69,10 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/fleetspark-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strips a ``file:`` scheme so local-only helpers (tests) can use os functions."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def discard_path(spark: SparkSession, path: str) -> None:
+    """Deletes a work table that nothing reads any more, through the cluster's file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df):

@@ -285,15 +285,22 @@ def write_descriptor_set(path: str, descriptor_set: bytes | None = None) -> str:
 
 
 def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else "file://" + path
+    """The path with the scheme of the cluster's default file system, resolved on the driver."""
+    spark = SparkSession.getActiveSession()
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
 
 
-def write_archive(records: DataFrame, path: str, max_records: int = 5000, prefix: str = "part", descriptor_set: bytes | None = None) -> DataFrame:
+def write_archive(records: DataFrame, path: str, max_records: int = 5000, prefix: str | None = None, descriptor_set: bytes | None = None) -> DataFrame:
     """Writes Kafka-shaped rows as ``date=YYYY-MM-DD/<prefix>-<task>-<chunk>.pb`` files.
 
-    Returns the file manifest (date, file, records) as written to
-    ``<path>/_manifest`` (ignored by archive readers).
+    Without a ``prefix`` each call takes a fresh one, so no two writers share
+    file names; a writer that repeats a batch passes the same prefix and
+    replaces its own files. Returns the file manifest (date, file, records) as
+    written to ``<path>/_manifest`` (ignored by archive readers).
     """
+    prefix = prefix or f"part-{uuid.uuid4().hex}"
     write_descriptor_set(path, descriptor_set)
     root = _uri(path)
     day = F.to_date(F.coalesce(F.col("timestamp"), F.col("ingested_at")))

@@ -56,6 +56,11 @@ def stream_messages(spark: SparkSession, path: str, max_files_per_trigger: int |
     return decode_messages(explode_records(stream_archive(spark, path, max_files_per_trigger)))
 
 
+def spark_property(df: DataFrame, name: str) -> str:
+    """A property that Spark sets for the running job."""
+    return df.sparkSession.sparkContext.getLocalProperty(name) or "batch"
+
+
 def archive_stream(
     stream: DataFrame,
     path: str,
@@ -67,7 +72,9 @@ def archive_stream(
     """Kafka-shaped stream -> archive files, one write per micro-batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_archive(batch, path, max_records=max_records, prefix=f"part-{batch_id:010d}")
+        # The query's id belongs to its checkpoint: a repeated batch replaces its own files and no other query's.
+        query = spark_property(batch, "sql.streaming.queryId")
+        write_archive(batch, path, max_records=max_records, prefix=f"part-{query}-{batch_id:010d}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
@@ -226,22 +233,37 @@ def rfc3339(ts_col) -> F.Column:
     return F.when(ts.isNotNull(), F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), frac, F.lit("Z")))
 
 
+def with_defaults(value: F.Column, kind: T.DataType, zero: str = "") -> F.Column:
+    """A field as proto3 prints it: unset scalars as zeros, unset arrays empty, unset messages left out."""
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[with_defaults(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(value.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(value, F.array().cast(kind))
+    if isinstance(kind, T.TimestampType):
+        return value
+    default = zero if isinstance(kind, T.StringType) else False if isinstance(kind, T.BooleanType) else 0
+    return F.coalesce(value, F.lit(default).cast(kind))
+
+
 def to_documents(decoded: DataFrame, topic: str = "vehicle-telemetry", index_prefix: str = "vehicle-telemetry-") -> DataFrame:
     """Search documents (A8): id, index (daily by event time), and the JSON body.
 
     The body holds every message field under its proto name, zeros and empty
     arrays included, enum names, the timestamp in RFC 3339, unset nested
-    messages left out, plus ``kafka{topic, partition, offset}``.
+    messages left out, plus ``kafka{topic, partition, offset}``. The topic is
+    the message's own if ``decoded`` has a ``topic`` column, else ``topic``.
     """
-    from fleetspark.model import TELEMETRY_SCHEMA
+    from fleetspark.model import TELEMETRY_SCHEMA, VEHICLE_TYPES
 
     fields = []
     for f in TELEMETRY_SCHEMA.fields:
         if f.name == "timestamp":
             fields.append(rfc3339(F.col("timestamp")).alias("timestamp"))
         else:
-            fields.append(F.col(f.name))
-    kafka = F.struct(F.lit(topic).alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"))
+            fields.append(with_defaults(F.col(f.name), f.dataType, VEHICLE_TYPES[0] if f.name == "vehicle_type" else "").alias(f.name))
+    own = F.coalesce(F.col("topic"), F.lit(topic)) if "topic" in decoded.columns else F.lit(topic)
+    kafka = F.struct(own.alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"))
     body = F.to_json(F.struct(*fields, kafka.alias("kafka")))
     event_time = F.col("timestamp").cast("timestamp")
     return decoded.select(
