@@ -246,10 +246,11 @@ def q_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from fleetspark.streaming.monitoring import lag_report, offset_samples
+    from fleetspark.sources.offsets import ARCHIVE_GROUP, DOCUMENT_GROUP, offset_samples
+    from fleetspark.streaming.monitoring import lag_report
 
     samples, commits = offset_samples(load_messages(spark, sf_dir))
-    return lag_report(samples, commits)
+    return lag_report(samples, commits, (ARCHIVE_GROUP, DOCUMENT_GROUP))
 
 
 def q_lag_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,9 @@
 
 Offset snapshots are tables: ``samples`` (t epoch seconds, partition,
 earliest, end) and ``commits`` (t, group_id, partition, committed; NULL when
-the group has committed nothing yet). ``offset_samples`` derives both from
-delivered messages (hourly per Kafka partition: the produced end offset, and
-for two consumer groups the offset they had committed by the end of the
-hour), so the reports run over data that grows with the input.
+the group has committed nothing yet). Offsets only move forward and a snapshot
+may leave out partitions without news, so reports are made over the whole grid
+of sample times, partitions and groups, each offset carried forward:
 
 * ``lag_report``: per sample time and group: produced = sum(end),
   retained = sum(end - earliest), consumed = sum(committed, NULL as 0),
@@ -15,9 +14,8 @@ hour), so the reports run over data that grows with the input.
 * ``lag_history``: the report rows of the last ``minutes`` before the newest
   sample.
 
-Every window here is partitioned by Kafka partition or by group, and the
-inputs have one row per (hour, partition) or (hour, group): small, and
-partitioned, never one global sort.
+Every window is partitioned by Kafka partition or by group. The lists of
+partitions and groups, which a topic has thousands of at most, become arrays.
 """
 
 from __future__ import annotations
@@ -27,67 +25,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ARCHIVE_GROUP = "protobuf-writer"
-DOCUMENT_GROUP = "elk-writer"
-DOCUMENT_DELAY_MINUTES = 10
-
-
-def offset_samples(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(samples, commits) per hour and Kafka partition from delivered messages."""
-    hour = F.date_trunc("hour", F.col("kafka_timestamp").cast("timestamp"))
-    hour_end = hour + F.expr("interval 1 hour")
-    ingested = F.col("ingested_at").cast("timestamp")
-    off = F.col("kafka_offset")
-    hourly = messages.groupBy(F.col("kafka_partition").alias("partition"), hour.alias("h")).agg(
-        F.min(off).alias("min_off"),
-        F.max(off).alias("max_off"),
-        F.max(F.when(ingested < hour_end, off)).alias("archive_off"),
-        F.max(F.when(ingested + F.make_dt_interval(mins=F.lit(DOCUMENT_DELAY_MINUTES)) < hour_end, off)).alias("document_off"),
-    )
-    w = Window.partitionBy("partition").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = hourly.select(
-        (F.unix_seconds(F.col("h")) + 3600).alias("t"),
-        "partition",
-        F.min("min_off").over(w).alias("earliest"),
-        (F.max("max_off").over(w) + 1).alias("end"),
-        (F.max("archive_off").over(w) + 1).alias(ARCHIVE_GROUP),
-        (F.max("document_off").over(w) + 1).alias(DOCUMENT_GROUP),
-    )
-    samples = running.select("t", "partition", "earliest", "end")
-    commits = running.select(
-        "t",
-        "partition",
-        F.explode(
-            F.array(
-                F.struct(F.lit(ARCHIVE_GROUP).alias("group_id"), F.col(ARCHIVE_GROUP).alias("committed")),
-                F.struct(F.lit(DOCUMENT_GROUP).alias("group_id"), F.col(DOCUMENT_GROUP).alias("committed")),
-            )
-        ).alias("c"),
-    ).select("t", "c.group_id", "partition", "c.committed")
-    return samples, commits
-
-
-def partition_lag(samples: DataFrame, commits: DataFrame) -> DataFrame:
+
+def _carried(column: str, *by: str):
+    """The last known value at or before a row's time."""
+    return F.last(column, ignorenulls=True).over(Window.partitionBy(*by).orderBy("t").rowsBetween(Window.unboundedPreceding, 0))
+
+
+def complete_samples(samples: DataFrame) -> DataFrame:
+    """A row for every sample time and partition.
+
+    A silent partition keeps its offsets; before its first snapshot it is empty
+    at the earliest offset that this one shows.
+    """
+    partitions = samples.select(F.collect_set("partition")).scalar()
+    grid = samples.select("t").distinct().select("t", F.explode(partitions).alias("partition"))
+    known = grid.join(samples.select("t", "partition", "earliest", "end"), ["t", "partition"], "left")
+    start = F.first("earliest", ignorenulls=True).over(Window.partitionBy("partition").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return known.select("t", "partition", F.coalesce(_carried("earliest", "partition"), start).alias("earliest"), F.coalesce(_carried("end", "partition"), start).alias("end"))
+
+
+def partition_lag(samples: DataFrame, commits: DataFrame, known_groups: Sequence[str] = ()) -> DataFrame:
     """Per sample time, group and partition: committed, end and lag (start = committed, else earliest)."""
-    j = commits.join(samples, on=["t", "partition"], how="inner")
-    return j.select(
-        "t",
-        "group_id",
-        "partition",
-        "committed",
-        "end",
-        (F.col("end") - F.coalesce(F.col("committed"), F.col("earliest"))).alias("lag"),
-        "earliest",
-    )
+    named = F.array(*[F.lit(g) for g in known_groups]).cast("array<string>")
+    groups = F.array_union(commits.select(F.collect_set("group_id")).scalar(), named)
+    each = complete_samples(samples).select("*", F.explode(groups).alias("group_id"))
+    rows = each.join(commits.select("t", "group_id", "partition", "committed"), ["t", "group_id", "partition"], "left")
+    rows = rows.withColumn("committed", _carried("committed", "group_id", "partition"))
+    return rows.select("t", "group_id", "partition", "committed", "end", (F.col("end") - F.coalesce("committed", "earliest")).alias("lag"), "earliest")
 
 
-def lag_report(samples: DataFrame, commits: DataFrame, known_groups: Sequence[str] = (ARCHIVE_GROUP, DOCUMENT_GROUP)) -> DataFrame:
+def lag_report(samples: DataFrame, commits: DataFrame, known_groups: Sequence[str] = ()) -> DataFrame:
     """Per sample time and group: produced, retained, consumed, lag.
 
     A group with no committed offset at a sample is dropped unless it is one
     of ``known_groups`` (then it starts at the earliest offset).
     """
-    pl = partition_lag(samples, commits)
+    pl = partition_lag(samples, commits, known_groups)
     per_group = pl.groupBy("t", "group_id").agg(
         F.sum("end").alias("produced"),
         F.sum(F.col("end") - F.col("earliest")).alias("retained"),

@@ -161,3 +161,12 @@ def test_latest_state_overwrite_delete_and_null_key(spark):
     )
     got = {r["key"]: r["value"] for r in S.latest_state(cl).collect()}
     assert got == {"a": "y"}
+
+
+def test_lag_counts_silent_partitions_and_partial_commits(spark):
+    samples = spark.createDataFrame([(10, 0, 0, 50), (20, 0, 0, 60), (20, 1, 5, 50), (30, 1, 5, 55)], "t long, partition int, earliest long, end long")
+    commits = spark.createDataFrame([(10, "g", 0, 50), (30, "g", 1, 20)], "t long, group_id string, partition int, committed long")
+    rows = sorted((r["t"], r["produced"], r["retained"], r["consumed"], r["lag"]) for r in lag_report(samples, commits).collect())
+    assert rows == [(10, 55, 50, 50, 0), (20, 110, 105, 50, 55), (30, 115, 110, 70, 45)]
+    assert min(r["produced_rate"] for r in rates(lag_report(samples, commits), ["produced"]).collect()) >= 0
+    assert {r["group_id"] for r in lag_report(samples, commits.limit(0), ["h"]).collect()} == {"h"}
