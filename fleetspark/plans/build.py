@@ -1,11 +1,13 @@
 """The full build (lifecycle L1): source checks, staging once, marts, checks, history.
 
-Staging is computed once and written (the reference re-derives it in every
-model); the marts then read the written table, so the decode, the
-de-duplication shuffle and the distance window run once per build. Staging
-is written partitioned by ``event_date`` so incremental readers prune by
-date. Every table is published only when its checks pass (Q33); a failing
-check leaves the previous table in place and is reported.
+Staging is computed once and written; the marts read the written table, so the
+decode, the de-duplication shuffle and the distance window run once per build.
+Staging is partitioned by ``event_date`` so that incremental readers prune.
+
+Steps form a graph. A step publishes its table only when its checks pass
+(Q33); if they do not, the previous table stays and every step that needs the
+failed one is skipped and reported as such. The rule checks of the raw messages
+come first.
 """
 
 from __future__ import annotations
@@ -17,94 +19,85 @@ from pyspark.sql import functions as F
 
 from fleetspark.model import ACCEPTED_EVENT_TYPES, ACCEPTED_VEHICLE_TYPES
 from fleetspark.operators import marts
-from fleetspark.operators.incremental import incremental_events
+from fleetspark.operators.incremental import merge_upsert, new_since, read_if_exists
 from fleetspark.operators.snapshot import snapshot
 from fleetspark.operators.staging import stage_readings
 from fleetspark.plans import quality as q
+from fleetspark.plans.quality import Check
+from fleetspark.session import discard_path, work_path
+
+
+def source_failures(messages: DataFrame) -> dict[str, int]:
+    """Messages that break the rules of each field (Q24), counted in one pass; only failing fields are listed."""
+    strict = q.strict_values(messages)
+    return {r["field"]: r["n"] for r in q.validate(strict).groupBy("field").agg(F.count("*").alias("n")).collect()}
+
+
+def publish_events(spark: SparkSession, stg: DataFrame, dim: DataFrame, path: str) -> dict:
+    """Merges the events of new readings into the event fact if they pass its checks."""
+    new = marts.vehicle_events(new_since(stg, read_if_exists(spark, path)))
+    staged = work_path(spark, "new-events")
+    new.write.parquet(staged)
+    events = spark.read.schema(new.schema).parquet(staged)
+    checks = [
+        q.Check("event_id_unique", lambda df: q.check_unique(df, "event_id")),
+        q.Check("event_id_not_null", lambda df: q.check_not_null(df, "event_id")),
+        q.Check("vehicle_in_dim", lambda df: q.check_relationship(df, "vehicle_id", dim, "vehicle_id")),
+        q.Check("event_type_accepted", lambda df: q.check_accepted_values(df, "event_type", ACCEPTED_EVENT_TYPES)),
+    ]
+    failures = {r["check"]: r["failures"] for r in q.run_checks(events, checks).collect()}
+    passed = not any(failures.values())
+    if passed:
+        merge_upsert(spark, events, path, ["event_id"], ["event_date"])
+    discard_path(spark, staged)
+    return {"published": passed, "failures": failures}
+
 
+def build(spark: SparkSession, messages: DataFrame, out: str, snapshot_runs: bool = True, source_checks: str = "error") -> dict:
+    """Builds staging, dimension, daily fact, latest status, event fact and dimension history under ``out``.
 
-def build(spark: SparkSession, messages: DataFrame, out: str, snapshot_runs: bool = True) -> dict:
-    """Builds staging, dimension, daily fact, latest status, event fact and dimension history under ``out``."""
+    ``source_checks``: "error" builds nothing while raw messages break rules,
+    "report" counts them and goes on. The report has for each step whether it
+    was ``published`` or ``skipped``, its failures and its time.
+    """
     out = out.rstrip("/")
     report: dict = {"timings": {}}
+    table = lambda name: spark.read.parquet(f"{out}/{name}")
+
+    def step(name: str, needs: tuple[str, ...], run) -> None:
+        unmet = [n for n in needs if not report[n]["published"]]
+        if unmet:
+            report[name] = {"published": False, "skipped": True, "because": unmet}
+            return
+        began = time.time()
+        report[name] = {"skipped": False, **run()}
+        report["timings"][name] = round(time.time() - began, 3)
+
+    def gated(name: str, make, not_null: tuple[str, ...], unique: Check, extra: dict | None = None, partition_by: tuple[str, ...] = ()):
+        rows = {f"{c}_not_null": F.col(c).isNotNull() for c in not_null} | (extra or {})
+        return lambda: q.publish_if_valid(spark, make(), rows, f"{out}/{name}", table_checks=[unique], partition_by=partition_by)
+
+    def sources() -> dict:
+        failures = source_failures(messages)
+        return {"published": source_checks == "report" or not failures, "failures": failures}
+
+    def history() -> dict:
+        snapshot(spark, table("dim_vehicles"), f"{out}/dim_vehicles_snapshot", "vehicle_id", updated_at="last_seen_at")
+        return {"published": True, "failures": {}}
+
+    one_vehicle = q.Check("vehicle_id_unique", lambda df: q.check_unique(df, "vehicle_id"))
+    one_message = q.Check("message_id_unique", lambda df: q.check_unique(df, "message_id"))
+    one_day = q.Check("vehicle_day_unique", lambda df: q.check_unique_combination(df, ["vehicle_id", "event_date"]))
+    known_type = {"vehicle_type_accepted": F.col("vehicle_type").isin(ACCEPTED_VEHICLE_TYPES) | F.col("vehicle_type").isNull()}
+    stg, dim = "stg_vehicle_telemetry", "dim_vehicles"
+    not_null = ("message_id", "vehicle_id", "recorded_at", "latitude", "longitude")
 
-    def timed(name, fn):
-        t0 = time.time()
-        result = fn()
-        report["timings"][name] = round(time.time() - t0, 3)
-        return result
-
-    stg_gate = timed(
-        "staging",
-        lambda: q.publish_if_valid(
-            spark,
-            stage_readings(messages),
-            {
-                "message_id_not_null": F.col("message_id").isNotNull(),
-                "vehicle_id_not_null": F.col("vehicle_id").isNotNull(),
-                "recorded_at_not_null": F.col("recorded_at").isNotNull(),
-                "latitude_not_null": F.col("latitude").isNotNull(),
-                "longitude_not_null": F.col("longitude").isNotNull(),
-                "vehicle_type_accepted": F.col("vehicle_type").isin(ACCEPTED_VEHICLE_TYPES) | F.col("vehicle_type").isNull(),
-            },
-            f"{out}/stg_vehicle_telemetry",
-            table_checks=[q.Check("message_id_unique", lambda df: q.check_unique(df, "message_id"))],
-            partition_by=["event_date"],
-        ),
-    )
-    report["staging"] = stg_gate
-    if not stg_gate["published"]:
-        return report
-    stg = spark.read.parquet(f"{out}/stg_vehicle_telemetry")
-
-    report["dim_vehicles"] = timed(
-        "dim_vehicles",
-        lambda: q.publish_if_valid(
-            spark,
-            marts.dim_vehicles(stg),
-            {"vehicle_id_not_null": F.col("vehicle_id").isNotNull()},
-            f"{out}/dim_vehicles",
-            table_checks=[q.Check("vehicle_id_unique", lambda df: q.check_unique(df, "vehicle_id"))],
-        ),
-    )
-    report["fct_vehicle_daily"] = timed(
-        "fct_vehicle_daily",
-        lambda: q.publish_if_valid(
-            spark,
-            marts.daily(stg),
-            {},
-            f"{out}/fct_vehicle_daily",
-            table_checks=[q.Check("vehicle_day_unique", lambda df: q.check_unique_combination(df, ["vehicle_id", "event_date"]))],
-        ),
-    )
-    report["vehicle_latest_status"] = timed(
-        "vehicle_latest_status",
-        lambda: q.publish_if_valid(
-            spark,
-            marts.latest_status(stg),
-            {"vehicle_id_not_null": F.col("vehicle_id").isNotNull()},
-            f"{out}/vehicle_latest_status",
-            table_checks=[q.Check("vehicle_id_unique", lambda df: q.check_unique(df, "vehicle_id"))],
-        ),
-    )
-    timed("fct_vehicle_events", lambda: incremental_events(spark, stg, f"{out}/fct_vehicle_events"))
-    fct = spark.read.parquet(f"{out}/fct_vehicle_events")
-    dim = spark.read.parquet(f"{out}/dim_vehicles")
-    report["event_checks"] = timed(
-        "event_checks",
-        lambda: {
-            r["check"]: r["failures"]
-            for r in q.run_checks(
-                fct,
-                [
-                    q.Check("event_id_unique", lambda df: q.check_unique(df, "event_id")),
-                    q.Check("event_id_not_null", lambda df: q.check_not_null(df, "event_id")),
-                    q.Check("vehicle_in_dim", lambda df: q.check_relationship(df, "vehicle_id", dim, "vehicle_id")),
-                    q.Check("event_type_accepted", lambda df: q.check_accepted_values(df, "event_type", ACCEPTED_EVENT_TYPES)),
-                ],
-            ).collect()
-        },
-    )
+    step("sources", (), sources)
+    step("staging", ("sources",), gated(stg, lambda: stage_readings(messages), not_null, one_message, known_type, ("event_date",)))
+    step("dim_vehicles", ("staging",), gated(dim, lambda: marts.dim_vehicles(table(stg)), ("vehicle_id",), one_vehicle))
+    step("fct_vehicle_daily", ("staging",), gated("fct_vehicle_daily", lambda: marts.daily(table(stg)), (), one_day))
+    step("vehicle_latest_status", ("staging",), gated("vehicle_latest_status", lambda: marts.latest_status(table(stg)), ("vehicle_id",), one_vehicle))
+    step("fct_vehicle_events", ("staging", "dim_vehicles"), lambda: publish_events(spark, table(stg), table(dim), f"{out}/fct_vehicle_events"))
     if snapshot_runs:
-        timed("dim_vehicles_snapshot", lambda: snapshot(spark, dim, f"{out}/dim_vehicles_snapshot", "vehicle_id", updated_at="last_seen_at"))
+        step("dim_vehicles_snapshot", ("dim_vehicles",), history)
     return report

@@ -427,6 +427,24 @@ def q_previous_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["S6_stream_dedup"] = q_stream_dedup
 QUERIES["S9_stream_distance"] = q_stream_distance
 QUERIES["A8_documents"] = q_documents
+def q_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a build publishes and skips (Q33): input as it is, without the messages that break rules, and with a doubled vehicle type."""
+    from fleetspark.plans.build import build
+    from fleetspark.plans.quality import strict_values, validate
+    from fleetspark.session import work_path
+
+    messages = load_messages(spark, sf_dir)
+    broken = validate(strict_values(messages), keys=["kafka_partition", "kafka_offset"]).select("kafka_partition", "kafka_offset").distinct()
+    clean = messages.join(broken, ["kafka_partition", "kafka_offset"], "left_anti")
+    odd = messages.withColumn("vehicle_type", F.when(F.col("vehicle_type") == "BUS", "TRAM").otherwise(F.col("vehicle_type")))
+    rows = []
+    for name, given, mode in (("raw", messages, "error"), ("clean", clean, "error"), ("odd_types", odd, "report")):
+        report = build(spark, given, work_path(spark, f"gate-{name}"), source_checks=mode)
+        rows += [(name, step, r["published"], r["skipped"]) for step, r in report.items() if step != "timings"]
+    return spark.createDataFrame(rows, "input string, step string, published boolean, skipped boolean")
+
+
+QUERIES["Q33_gate"] = q_gate
 QUERIES["A6_archive_append"] = q_archive_append
 QUERIES["I2_merge_null_partition"] = q_merge_null_partition
 QUERIES["A10_full_rebuild"] = q_full_rebuild
