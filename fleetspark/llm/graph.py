@@ -4,7 +4,8 @@ Each round lets every node link its neighbours to the smallest of them, which
 keeps components as they are and flattens them to stars in about as many rounds
 as the logarithm of the longest path. A round is two aggregations and two joins
 on node ids; its links are written, so a lost executor never repeats earlier
-rounds, and neither links nor components reach the driver.
+rounds, and neither links nor components reach the driver. Once no more than
+``FEW_LINKS`` are left, one task finishes them.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from fleetspark.llm.common import written
 
 LINKS = "a bigint, b bigint"
+#: So few links (16 bytes each) are flattened by one task instead of by further rounds.
+FEW_LINKS = 300_000
 
 
 def forest(pairs: list[tuple[int, int]] | np.ndarray) -> dict[int, int]:
@@ -38,14 +41,22 @@ def forest(pairs: list[tuple[int, int]] | np.ndarray) -> dict[int, int]:
     return {x: find(x) for x in list(root)}
 
 
+def _stars(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of some batches as stars: the same components with fewer links."""
+    pairs = [p for batch in batches for p in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)]
+    star = [(x, r) for x, r in forest(pairs).items() if x != r]
+    if star:
+        a, b = zip(*star, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def _contract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each batch's links as stars: the same components with fewer links."""
     for batch in rows:
-        root = forest(list(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)))
-        star = [(x, r) for x, r in root.items() if x != r]
-        if star:
-            a, b = zip(*star, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        yield from _stars([batch])
+
+
+def _finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _stars(list(rows))
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -67,7 +78,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 31))).first()
     last = mark(now)
     for _ in range(most_rounds):
-        if not last[0]:
+        if last[0] <= FEW_LINKS:
+            now = written(now.coalesce(1).mapInArrow(_finish, LINKS), "links")
             break
         now = written(_star(_star(now, True), False), "links")
         found = mark(now)

@@ -3,9 +3,10 @@
 import random
 import re
 
+import pytest
 import xxhash
 
-from fleetspark.llm import queries
+from fleetspark.llm import graph, queries
 from fleetspark.llm.graph import components, forest
 from fleetspark.llm.simhash import fingerprint, golay_table, keep_one, keys, simhash_groups
 
@@ -92,7 +93,9 @@ def test_fingerprint_of_long_and_short():
         assert fingerprint(text) == plain_fingerprint(text)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 300_000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW_LINKS", few)
     rng = random.Random(4)
     pairs = [(i, i + 1) for i in range(200, 400)] + [(500, x) for x in range(501, 700)] + [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(80)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
