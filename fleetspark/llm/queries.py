@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetspark.llm.oracle import ORACLE  # noqa: F401
+
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -110,4 +112,3 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}

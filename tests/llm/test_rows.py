@@ -156,3 +156,10 @@ def test_mix(spark, odd, none, weights):
         key = lambda r: (r.doc_id is None, r.doc_id or 0, r.size, r.taken)
         assert sorted(rows, key=key) == sorted(again, key=key)
     assert mix_sources(none).count() == 0
+
+
+def test_mix_query_matches_sql(spark):
+    from oracle_compare import compare
+
+    r = compare(spark, "/root/testdata/sf0.01", "op4_mix_sources", queries.op4_mix_sources, queries.ORACLE["op4_mix_sources"])
+    assert r["columns_match"] and r["spark_rows"] == r["oracle_rows"] and r["values_match"], r
