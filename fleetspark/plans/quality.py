@@ -27,27 +27,19 @@ from fleetspark.session import work_path
 KEY_COLUMNS = ("message_id", "kafka_partition", "kafka_offset", "ingested_at")
 
 
-def strict_values(decoded: DataFrame, rules: Mapping[str, FieldSpec] = TELEMETRY_RULES) -> DataFrame:
-    """Defaults-on messages -> the strict (no defaults) form: zero scalars become NULL.
+def _strict(col: Column, spec: FieldSpec) -> Column:
+    if spec.repeated or spec.kind in ("timestamp", "map", "bytes"):
+        return col
+    if spec.kind == "message":
+        inner = [_strict(col.getField(n), sub).alias(n) for n, sub in spec.fields.items()]
+        return F.when(col.isNotNull(), F.struct(*inner)) if inner else col
+    zero = {"string": "", "bool": False, "enum": spec.enum_values[0] if spec.enum_values else None}.get(spec.kind, 0)
+    return F.nullif(col, F.lit(zero))
 
-    Nested messages keep their structure (their fields are zero-valued, not
-    NULL, which the rules treat the same way).
-    """
-    out = []
-    for c in decoded.columns:
-        spec = rules.get(c)
-        col = F.col(c)
-        if spec is None or spec.repeated or spec.kind in ("message", "timestamp", "map"):
-            out.append(col)
-        elif spec.kind == "string":
-            out.append(F.nullif(col, F.lit("")).alias(c))
-        elif spec.kind == "bool":
-            out.append(F.nullif(col, F.lit(False)).alias(c))
-        elif spec.kind == "enum":
-            out.append(F.nullif(col, F.lit(spec.enum_values[0])).alias(c))
-        else:
-            out.append(F.nullif(col, F.lit(0)).alias(c))
-    return decoded.select(*out)
+
+def strict_values(decoded: DataFrame, rules: Mapping[str, FieldSpec] = TELEMETRY_RULES) -> DataFrame:
+    """Defaults-on messages -> the strict (no defaults) form: zero scalars become NULL, in nested messages too."""
+    return decoded.select(*[_strict(F.col(c), rules[c]).alias(c) if c in rules else F.col(c) for c in decoded.columns])
 
 
 def rule_conditions(rules: Mapping[str, FieldSpec], now: Column | None = None) -> tuple[dict[str, Column], list[str], dict[str, list[str]]]:

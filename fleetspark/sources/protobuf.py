@@ -212,8 +212,12 @@ def spark_schema(descriptor) -> T.StructType:
 # ---------------------------------------------------------------------------
 
 
-def _timestamp_value(ts) -> dt.datetime:
-    return EPOCH + dt.timedelta(microseconds=ts.seconds * 1_000_000 + ts.nanos // 1000)
+def _timestamp_value(ts) -> dt.datetime | None:
+    """The time, or None if it lies outside the years 1 to 9999 (PERMISSIVE: NULL, never an error)."""
+    try:
+        return EPOCH + dt.timedelta(seconds=ts.seconds, microseconds=ts.nanos // 1000)
+    except OverflowError:
+        return None
 
 
 def _enum_name(field, number: int) -> str:
@@ -221,7 +225,7 @@ def _enum_name(field, number: int) -> str:
     return value.name if value is not None else f"UNKNOWN_ENUM_VALUE_{field.enum_type.name}_{number}"
 
 
-def _single(field, value):
+def _single(field, value, emit_defaults: bool = True):
     from google.protobuf.descriptor import FieldDescriptor as FD
 
     if field.type == FD.TYPE_ENUM:
@@ -236,38 +240,41 @@ def _single(field, value):
             from google.protobuf import json_format
 
             return json_format.MessageToJson(value)
-        return to_row(value, emit_defaults=True)
+        return to_row(value, emit_defaults)
     return value
 
 
 _PLANS: dict = {}
 
 
-def _plan(descriptor):
-    """Per message type, built once per process: (name, kind, converter) for every field."""
-    plan = _PLANS.get(descriptor.full_name)
+def _plan(descriptor, emit_defaults: bool):
+    """Per descriptor and mode, built once per process: (name, kind, converter) for every field.
+
+    Descriptors, not names: one worker may decode a message by two versions of its schema.
+    """
+    plan = _PLANS.get((descriptor, emit_defaults))
     if plan is None:
         plan = []
         for field in descriptor.fields:
             if _is_map(field):
                 value_field = field.message_type.fields_by_name["value"]
-                plan.append((field.name, "map", lambda v, f=value_field: _single(f, v)))
+                plan.append((field.name, "map", lambda v, f=value_field: _single(f, v, emit_defaults)))
             elif _is_repeated(field):
-                plan.append((field.name, "repeated", _converter(field)))
+                plan.append((field.name, "repeated", _converter(field, emit_defaults)))
             elif field.message_type is not None:
-                plan.append((field.name, "message", _converter(field)))
+                plan.append((field.name, "message", _converter(field, emit_defaults)))
             else:
-                plan.append((field.name, "scalar", _converter(field)))
-        _PLANS[descriptor.full_name] = plan
+                plan.append((field.name, "scalar", _converter(field, emit_defaults)))
+        _PLANS[descriptor, emit_defaults] = plan
     return plan
 
 
-def _converter(field):
+def _converter(field, emit_defaults: bool):
     """A function from one protobuf value of ``field`` to its Spark-ready value (None = as is)."""
     if field.enum_type is not None:
         return lambda v, f=field: _enum_name(f, v)
     if field.message_type is not None:
-        return lambda v, f=field: _single(f, v)
+        return lambda v, f=field: _single(f, v, emit_defaults)
     return None
 
 
@@ -275,7 +282,7 @@ def to_row(msg, emit_defaults: bool = True) -> dict:
     """A parsed message as a dict of Spark-ready values."""
     out = {}
     present = None if emit_defaults else {f.name for f, _ in msg.ListFields()}
-    for name, kind, conv in _plan(msg.DESCRIPTOR):
+    for name, kind, conv in _plan(msg.DESCRIPTOR, emit_defaults):
         if kind == "scalar":
             if present is not None and name not in present:
                 out[name] = None

@@ -103,6 +103,34 @@ def test_proto3_zeros_with_and_without_defaults(spark):
     assert strict["rpm"] is None and strict["vehicle_type"] is None and strict["dtc_codes"] is None
 
 
+def test_strict_decode_of_nested_zeros_and_times_out_of_range(spark):
+    m = telemetry(message_id="z", position={"lat": 0.0, "lon": 18.0})
+    m.timestamp.seconds = 10**12
+    df = spark.createDataFrame([(m.SerializeToString(),)], "value binary")
+    strict = A.decode_column(df, emit_defaults=False).collect()[0]["decoded"]
+    assert strict["position"]["lat"] is None and strict["position"]["lon"] == 18.0 and strict["timestamp"] is None
+    loose = A.decode_column(df).collect()[0]["decoded"]
+    assert loose["position"]["lat"] == 0.0 and loose["timestamp"] is None
+
+
+def test_plans_follow_the_descriptor():
+    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
+
+    def version(*fields):
+        file = descriptor_pb2.FileDescriptorProto(name="m.proto", package="t", syntax="proto3")
+        message = file.message_type.add(name="M")
+        for n, name in enumerate(fields, 1):
+            message.field.add(name=name, number=n, type=descriptor_pb2.FieldDescriptorProto.TYPE_INT32, label=1)
+        pool = descriptor_pool.DescriptorPool()
+        pool.Add(file)
+        return message_factory.GetMessageClass(pool.FindMessageTypeByName("t.M"))
+
+    old, new = version("a"), version("a", "b")
+    data = old(a=3).SerializeToString()
+    assert pb.to_row(pb.parse(old, data)) == {"a": 3}
+    assert pb.to_row(pb.parse(new, data)) == {"a": 3, "b": 0}
+
+
 def test_corrupt_file_loses_its_records_and_is_reported(spark, tmp_dir):
     batch = pb.message_class("kafka.v1.KafkaRecordBatch")()
     rec = batch.records.add()
