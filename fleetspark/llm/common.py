@@ -39,6 +39,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def small(table: DataFrame, most_rows: int) -> DataFrame:
+    """The table marked for broadcast if it has no more than ``most_rows`` rows, else as it is (joined by a shuffle)."""
+    return F.broadcast(table) if table.count() <= most_rows else table
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables made by ``written`` that nothing reads any more."""
     for table in tables:

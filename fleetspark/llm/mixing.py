@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import SPACE_RUN, text_or_empty, written
+from fleetspark.llm.common import SPACE_RUN, small, text_or_empty, written
 
 HASH_BITS = 60
 LEVEL_BITS = 12
@@ -151,7 +151,9 @@ def mixed_documents(
 
     Texts stay where they are as long as the plan, one row of 40 bytes per
     source, is small enough to broadcast (its rows are counted); beyond that it
-    is joined by a shuffle.
+    is joined by a shuffle. Defined cases are those of ``mix_sources``; rows
+    without words follow their hash like others, and go if their whole source
+    has no words.
     """
     _, plan = _plan(docs, weights, share, most, seed, id_col, text_col, source_col)
     plan = written(plan.select(F.col("sid").alias("_sid"), F.col("rounds").alias("_r"), F.col("below").alias("_b")).coalesce(1), "mix-plan")
@@ -159,7 +161,7 @@ def mixed_documents(
     temp = [f"c{i}" for i in range(len(names))]
     at = dict(zip(names, temp, strict=True))
     rows = docs.toDF(*temp).withColumn("_sid", source_key(F.col(at[source_col]).cast("string")))
-    plan = F.broadcast(plan) if plan.count() <= MOST_BROADCAST else plan
+    plan = small(plan, MOST_BROADCAST)
     copies = F.col("_r") + F.coalesce((mix_hash(F.col(at[id_col]), seed) < F.col("_b")).cast("long"), F.lit(0).cast("long"))
     rows = rows.join(plan, "_sid").withColumn("_n", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
     return rows.select(*temp).toDF(*names)

@@ -116,8 +116,9 @@ def train(docs: DataFrame, grades: DataFrame, n_grades: int, most_rows: int = MO
     graded = grades.select(F.col(id_col).alias("doc_id"), F.col(grade_col).cast("int").alias("grade")).filter(F.col("doc_id").isNotNull() & F.col("grade").between(0, n_grades - 1))
     total = graded.count()
     if total > most_rows:
+        # About most_rows are left, which is what bounds the broadcast below.
         graded = graded.filter(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(most_rows / total * (1 << 30)))
-    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).join(graded, "doc_id").select("doc_id", "text", "grade")
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(graded), "doc_id").select("doc_id", "text", "grade")
 
     def extract(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:

@@ -17,10 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import work_path
+from fleetspark.llm.common import small, work_path, written
 from fleetspark.llm.tokens import read_spec, token_batches
 
 LENGTH = 1024
+#: Partitions whose offsets are broadcast at most.
+MOST_PARTS = 1_000_000
 STREAM = "doc_id {id}, part int, local_start bigint, n bigint, ids binary"
 PIECES = "doc_id {id}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, cut_before boolean, cut_after boolean, ids binary"
 
@@ -54,13 +56,13 @@ def token_stream(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
 def with_offsets(stream: DataFrame) -> DataFrame:
     """Second pass: the global place of each row, from the totals of the partitions.
 
-    The table of totals has one row of 12 bytes per input partition, so it is
-    small enough to broadcast for any input that Spark can plan.
+    The table of totals has one row of 12 bytes per input partition; it is
+    counted, and broadcast up to ``MOST_PARTS`` rows.
     """
     totals = stream.groupBy("part").agg(F.max(F.col("local_start") + F.col("n")).alias("total"))
     before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = totals.select("part", before.alias("base"))
-    return stream.join(F.broadcast(bases), "part").withColumn("place", F.col("base") + F.col("local_start"))
+    bases = written(totals.select("part", before.alias("base")).coalesce(1), "token-bases")
+    return stream.join(small(bases, MOST_PARTS), "part").withColumn("place", F.col("base") + F.col("local_start"))
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

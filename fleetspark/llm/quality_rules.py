@@ -237,6 +237,8 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] =
 
     The votes are counted in one pass and computed again in the pass that
     filters, which costs processor time but moves no text between executors.
+    Defined cases are those of ``quality_rules``: null, empty and wordless texts
+    fail the base rules and go, repeated rows stay or go together.
     """
     kept = tuple(docs.columns)
     names = [f"c{i}" for i in range(len(kept))]

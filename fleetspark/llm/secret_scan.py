@@ -184,7 +184,10 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "<secret>") -> DataFrame:
-    """The input with every span of its text replaced by ``mask`` (overlapping spans by one)."""
+    """The input with every span of its text replaced by ``mask`` (overlapping spans by one).
+
+    Null texts stay null, texts without spans as they are; rows and other columns do not change.
+    """
     text = F.col("_t")
     names = docs.columns
     temp = [f"c{i}" for i in range(len(names))]

@@ -22,11 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetspark.llm.common import small, written
 from fleetspark.llm.tokens import read_spec, token_batches
 
 MAGIC = b"WMX1"
 BLOCK = 512
 SHARD_TOKENS = 1 << 19
+#: Partitions whose offsets are broadcast at most.
+MOST_PARTS = 1_000_000
 FILES = "part int, shard int, local_start bigint, n_tokens bigint, bytes binary"
 
 
@@ -204,12 +207,14 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files at ``path``: doc_id, start, n_tokens and ids (little-endian unsigned 32-bit).
 
     A shard starts where the partitions before it end (one small row each,
-    broadcast) and the shards before it in its partition do.
+    broadcast up to ``MOST_PARTS`` of them) and the shards before it in its
+    partition do.
     """
     files = spark.read.schema(FILES).parquet(path)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    files = files.join(F.broadcast(totals.select("part", before.alias("base"))), "part")
+    bases = written(totals.select("part", before.alias("base")).coalesce(1), "wavelet-bases")
+    files = files.join(small(bases, MOST_PARTS), "part")
     files = files.select((F.col("base") + F.col("local_start")).alias("start"), "bytes")
 
     def documents(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
