@@ -6,17 +6,22 @@ pair at the least similarity shares a band in 99.8 of 100 cases. Paragraphs
 that share a band are verified by exact Jaccard similarity, verified links
 become components, and of each class the first occurrence stays.
 
-A passage inside longer paragraphs is no paragraph of its own, so paragraphs
-are also cut at content-defined places (words whose hash is least among their
-neighbours). A verbatim passage has the same cuts wherever it stands; equal
-pieces that stand side by side and reach ``passage`` words together are repeats.
+A passage inside paragraphs or across lines is no paragraph of its own. Over
+the words of the whole document, windows of ``passage`` words are taken whose
+least-hashed pair of words is the first or the last. That depends on nothing
+but the window's own words, so a window is taken wherever it stands, and two
+that follow each other start less than ``passage`` words apart: copies of 29
+words or more always share one (shorter ones, from 16 words, often). Each
+window has its own first occurrence; windows of one document that
+touch and repeat the same stretch of the same source become one passage, and
+only windows that stand earlier elsewhere are removed.
 
 Words are compared without regard to ASCII case.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +39,18 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 5
 #: Least words of a paragraph that is judged, and of a passage within paragraphs.
 PARAGRAPH, PASSAGE = 20, 16
-#: A cut is a word whose hash is the least among this many on either side; shorter pieces are dropped.
-RADIUS, PIECE = 4, 4
+#: Words of the strings whose hashes say whether a window is taken.
+PAIR = 2
 CHUNK = 1_000_000
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 UNITS = "kind tinyint, doc_id {id}, a bigint, b bigint, key bigint, bands array<bigint>"
 
 
 class Scanner:
-    """Words, paragraphs, signatures and pieces of a chunk of texts, in whole-array steps."""
+    """Words, paragraphs, signatures and windows of a chunk of texts, in whole-array steps."""
 
-    def __init__(self) -> None:
+    def __init__(self, passage: int) -> None:
+        self.passage = passage
         self.bytes, self.words = Hashes(21, 2 * CHUNK), Hashes(22, CHUNK)
         rng = np.random.default_rng(23)
         self.mix = rng.integers(0, 1 << 63, SHINGLE, dtype="uint64") * np.uint64(2) + np.uint64(1)
@@ -75,9 +81,9 @@ class Scanner:
         long = count >= PARAGRAPH
         at, n = first[long], count[long]
         paragraphs = {"doc": doc[at], "a": in_doc[at], "b": in_doc[at] + n, "key": content(at, n), "bands": self._bands(word, at, n)}
-        at, n = self._pieces(word, first, count)
-        pieces = {"doc": doc[at], "a": in_doc[at], "b": in_doc[at] + n, "key": content(at, n)}
-        return paragraphs, pieces
+        at, key = self._windows(doc, content)
+        windows = {"doc": doc[at], "a": in_doc[at], "b": in_doc[at] + self.passage, "key": key}
+        return paragraphs, windows
 
     def shingles(self, word: np.ndarray) -> np.ndarray:
         """Hash of the shingle that starts at each word (the last few run over the end)."""
@@ -99,61 +105,62 @@ class Scanner:
             out[:, band] = key
         return out
 
-    def _pieces(self, word: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        nth = np.repeat(np.arange(len(first)), count)
-        place = np.arange(len(word)) + RADIUS * (nth + 1)
-        apart = np.full(len(word) + RADIUS * (len(first) + 1), np.iinfo("uint64").max, "uint64")
-        apart[place] = mixed(word)
-        low, done, width = apart, 1, 2 * RADIUS + 1
-        while 2 * done <= width:
+    def _windows(self, doc: np.ndarray, content: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of the windows taken: those in one document whose least pair of words is the first or the last."""
+        at = np.arange(max(len(doc) - self.passage + 1, 0))
+        if not len(at):
+            return at, np.zeros(0, "uint64")
+        pairs, last = np.arange(len(doc) - PAIR + 1), self.passage - PAIR
+        pair = mixed(content(pairs, np.full(len(pairs), PAIR)))
+        low, done = pair, 1
+        while 2 * done <= last + 1:
             low = np.minimum(low[:-done], low[done:])
             done *= 2
-        if done < width:
-            low = np.minimum(low[: len(low) - (width - done)], low[width - done :])
-        cut = apart[place] == low[place - RADIUS]
-        cut[first] = True
-        at = np.flatnonzero(cut)
-        stop = np.minimum(np.append(at[1:], len(word)), (first + count)[nth[at]])
-        keep = stop - at >= PIECE
-        return at[keep], (stop - at)[keep]
-
-
-def _scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    scanner = Scanner()
-    ids: list[pa.Array] = []
-    texts: list[bytes] = []
-    size = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        doc_ids = pa.concat_arrays(ids)
-        paragraphs, pieces = scanner.chunk(texts)
-        for k, x in ((0, paragraphs), (1, pieces)):
-            if not x:
-                continue
-            n = len(x["a"])
-            if k == 0:  # bands once for each distinct paragraph of the chunk
-                _, new = np.unique(x["key"], return_index=True)
-                has = np.zeros(n, bool)
-                has[new] = True
-                offsets = np.concatenate([[0], np.cumsum(has * BANDS)]).astype("int32")
-                bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(x["bands"][has].ravel().view("int64")))
-            else:
-                bands = pa.nulls(n, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, k, "int8")), doc_ids.take(pa.array(x["doc"])), pa.array(x["a"].astype("int64")), pa.array(x["b"].astype("int64")), pa.array(x["key"].view("int64")), bands], ["kind", "doc_id", "a", "b", "key", "bands"])
-
-    for batch in rows:
-        for at in range(0, len(batch), 128):
-            part = batch.slice(at, 128)
-            ids.append(part.column("doc_id"))
-            got = part.column("text").cast(pa.binary()).to_pylist()
-            texts += got
-            size += sum(map(len, got))
-            if size >= CHUNK:
-                yield from flush()
-                ids, texts, size = [], [], 0
-    if texts:
-        yield from flush()
-
+        if done < last + 1:
+            low = np.minimum(low[: len(low) - (last + 1 - done)], low[last + 1 - done :])
+        taken = (low == pair[at]) | (low == pair[at + last])
+        at = at[taken & (doc[at] == doc[at + self.passage - 1])]
+        return at, content(at, np.full(len(at), self.passage))
+
+
+def _scan(passage: int):
+    def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(passage)
+        ids: list[pa.Array] = []
+        texts: list[bytes] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            doc_ids = pa.concat_arrays(ids)
+            paragraphs, windows = scanner.chunk(texts)
+            for k, x in ((0, paragraphs), (1, windows)):
+                if not x:
+                    continue
+                n = len(x["a"])
+                if k == 0:  # bands once for each distinct paragraph of the chunk
+                    _, new = np.unique(x["key"], return_index=True)
+                    has = np.zeros(n, bool)
+                    has[new] = True
+                    offsets = np.concatenate([[0], np.cumsum(has * BANDS)]).astype("int32")
+                    bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(x["bands"][has].ravel().view("int64")))
+                else:
+                    bands = pa.nulls(n, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, k, "int8")), doc_ids.take(pa.array(x["doc"])), pa.array(x["a"].astype("int64")), pa.array(x["b"].astype("int64")), pa.array(x["key"].view("int64")), bands], ["kind", "doc_id", "a", "b", "key", "bands"])
+
+        for batch in rows:
+            for at in range(0, len(batch), 128):
+                part = batch.slice(at, 128)
+                ids.append(part.column("doc_id"))
+                got = part.column("text").cast(pa.binary()).to_pylist()
+                texts += got
+                size += sum(map(len, got))
+                if size >= CHUNK:
+                    yield from flush()
+                    ids, texts, size = [], [], 0
+        if texts:
+            yield from flush()
+
+    return scan
 
 
 def _paragraph_texts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,6 +247,15 @@ def _verify(similarity: float):
     return verify
 
 
+def _touching(spans: DataFrame) -> DataFrame:
+    """Spans of one document that touch and repeat the same source at the same distance, as one."""
+    of = ["doc_id", "removed", "first_id", "shift"]
+    by = Window.partitionBy(*of).orderBy("a", "b")
+    spans = spans.withColumn("new", F.coalesce((F.col("a") > F.max("b").over(by.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1)))
+    spans = spans.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return spans.groupBy(*of, "run").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("run")
+
+
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage: int = PASSAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per repeated paragraph or passage of a document, the first occurrences included.
 
@@ -255,9 +271,9 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage
     spark = docs.sparkSession
     keyed = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    scan = keyed.mapInArrow(_scan, UNITS.format(id=kind))
+    scan = keyed.mapInArrow(_scan(passage), UNITS.format(id=kind))
     units = written(scan, "paragraph-units")
-    paragraphs, pieces = units.filter("kind = 0"), units.filter("kind = 1")
+    paragraphs, windows = units.filter("kind = 0"), units.filter("kind = 1")
 
     # Bands shared by distinct paragraphs.
     banded = paragraphs.filter(F.col("bands").isNotNull()).select(F.explode("bands").alias("band"), "key")
@@ -285,14 +301,10 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage
     rows = written(rows, "paragraph-classes")
     release(spark)
 
-    # Passages: equal pieces side by side.
-    least = pieces.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    same = pieces.join(least, "key").select("doc_id", "a", "b", F.col("first.doc_id").alias("first_id"), (order != F.col("first")).alias("again"))
-    by = Window.partitionBy("doc_id").orderBy("a", "b")
-    same = same.withColumn("new", F.coalesce((F.col("a") > F.max("b").over(by.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1)))
-    same = same.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    found = same.groupBy("doc_id", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min("first_id").alias("first_id"), F.max("again").alias("removed"))
-    found = found.filter(F.col("b") - F.col("a") >= passage).select("doc_id", F.lit("passage").alias("kind"), "a", "b", "first_id", "removed", F.lit(None).cast("bigint").alias("n_same"))
+    # Passages: windows that repeat one stretch of one source.
+    least = windows.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    same = windows.join(least, "key").select("doc_id", "a", "b", F.col("first.doc_id").alias("first_id"), (F.col("first.a") - F.col("a")).alias("shift"), (order != F.col("first")).alias("removed"))
+    found = _touching(same).select("doc_id", F.lit("passage").alias("kind"), "a", "b", "first_id", "removed", F.lit(None).cast("bigint").alias("n_same"))
     found = written(found, "paragraph-passages")
     discard(units, shared, sets, links)
     release(spark)

@@ -95,3 +95,29 @@ def test_odd_rows(odd, none):
     ids = {r.doc_id for r in got}
     assert {1, 2, 3, 8, 9, 14} <= ids and not ids & {4, 5, 6, 7, 12, None}
     assert repeated_paragraphs(none).count() == 0
+
+
+def test_one_copy_stays(spark):
+    """A phrase that stands earlier, beside or inside a passage, never takes the passage's first occurrence with it."""
+    rng = random.Random(16)
+    prose = lambda n: " ".join(f"{rng.choice('bcdfg')}{rng.randrange(100000)}" for _ in range(n))
+    rows, passages = [], []
+    for g in range(60):
+        phrase, before, after = prose(rng.choice([8, 12, 25])), prose(30), prose(30)
+        passage = [f"{phrase} {before} {after}", f"{before} {phrase} {after}", f"{before} {after} {phrase}"][g % 3]
+        rows.append((4 * g, f"{prose(40)} {phrase} {prose(40)}"))
+        rows += [(4 * g + k, f"{prose(40)} {passage} {prose(40)}") for k in (1, 2, 3)]
+        passages.append((before, after))
+    got = repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    words = {d: t.split() for d, t in rows}
+    gone = {d: set() for d in words}
+    for r in got:
+        gone[r.doc_id].update(range(r.first_word, r.end_word) if r.removed else ())
+    for g, parts in enumerate(passages):
+        for part in parts:
+            part = part.split()
+            at = {k: words[4 * g + k].index(part[0]) for k in (1, 2, 3)}
+            assert not gone[4 * g + 1] & set(range(at[1], at[1] + len(part)))
+            assert all(len(gone[4 * g + k] & set(range(at[k], at[k] + len(part)))) >= 1 for k in (2, 3))
+        first = {r.first_id for r in got if r.doc_id in (4 * g + 2, 4 * g + 3)}
+        assert first <= {4 * g, 4 * g + 1} and 4 * g + 1 in first
