@@ -14,7 +14,9 @@ that follow each other start less than ``passage`` words apart: copies of 29
 words or more always share one (shorter ones, from 16 words, often). Each
 window has its own first occurrence; windows of one document that
 touch and repeat the same stretch of the same source become one passage, and
-only windows that stand earlier elsewhere are removed.
+only windows that stand earlier elsewhere are removed. A removed passage is
+then extended word by word as far as it agrees with its source, but not into
+one that stands first in its own document.
 
 Words are compared without regard to ASCII case.
 """
@@ -26,7 +28,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.llm.common import discard, release, text_or_empty, written
@@ -176,6 +178,26 @@ def _paragraph_texts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
 
 
+def _edges(reach: int):
+    """The spans (a, b) listed with each text: hash of their words, and hashes of the words before and after, nearest first."""
+
+    def edges(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            ids, out = [], []
+            for at, (text, wanted) in enumerate(zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("wanted").to_pylist(), strict=True)):
+                words = text.lower().split()
+                for x in wanted:
+                    a, b = x["a"], x["b"]
+                    near = [[xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in part] for part in (words[max(a - reach, 0) : a][::-1], words[b : b + reach])]
+                    ids.append(at)
+                    out.append((a, b, xxhash.xxh3_64_intdigest(b" ".join(words[a:b])) - (1 << 63), *near))
+            a, b, core, left, right = zip(*out, strict=True) if out else ((),) * 5
+            words = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(ids, pa.int64())), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(core, pa.int64()), pa.array(left, words), pa.array(right, words)], ["doc_id", "a", "b", "core", "left", "right"])
+
+    return edges
+
+
 def _groups(rows: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, list[dict]]]:
     """Groups of rows sorted by a column, over batches."""
     held: list[dict] = []
@@ -256,6 +278,42 @@ def _touching(spans: DataFrame) -> DataFrame:
     return spans.groupBy(*of, "run").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("run")
 
 
+def _extended(keyed: DataFrame, found: DataFrame, kind: str, reach: int) -> DataFrame:
+    """The passages with removed ones extended word by word, and each one's source as a first occurrence.
+
+    ``reach`` words each way are enough: further on the copies share another window.
+    """
+    of = ["doc_id", "removed", "first_id", "shift"]
+    source = [F.col("first_id").alias("doc_id"), (F.col("a") + F.col("shift")).alias("a"), (F.col("b") + F.col("shift")).alias("b")]
+    copies = found.filter("removed")
+    wanted = copies.select("doc_id", "a", "b").unionByName(copies.select(*source)).distinct()
+    wanted = wanted.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("a", "b")).alias("wanted"))
+    edges = keyed.join(wanted, keyed.doc_id.eqNullSafe(wanted.of_id)).select("doc_id", "text", "wanted").mapInArrow(_edges(reach), f"doc_id {kind}, a bigint, b bigint, core bigint, left array<bigint>, right array<bigint>")
+    edges = edges.groupBy("doc_id", "a", "b").agg(F.min(F.struct("core", "left", "right")).alias("x"))  # ids may be repeated
+    edges = written(edges, "paragraph-edges")
+
+    # How far a passage may reach before it meets one that stands first in its document.
+    kept = lambda col: F.when(~F.col("removed"), F.col(col))
+    before = lambda *order: Window.partitionBy("doc_id").orderBy(*order, "removed").rowsBetween(Window.unboundedPreceding, -1)
+    roomy = found.withColumn("low", F.max(kept("b")).over(before("a"))).withColumn("high", F.min(kept("a")).over(before(F.desc("b")))).filter("removed")
+    here = edges.select(F.col("doc_id").alias("h_id"), F.col("a").alias("h_a"), F.col("b").alias("h_b"), F.col("x").alias("here"))
+    there = edges.select(F.col("doc_id").alias("t_id"), F.col("a").alias("t_a"), F.col("b").alias("t_b"), F.col("x").alias("there"))
+    both = roomy.join(here, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("a") == F.col("h_a")) & (F.col("b") == F.col("h_b")), "left")
+    both = both.join(there, F.col("first_id").eqNullSafe(F.col("t_id")) & (F.col("a") + F.col("shift") == F.col("t_a")) & (F.col("b") + F.col("shift") == F.col("t_b")), "left")
+
+    def agree(side: str) -> Column:
+        same = F.zip_with(F.col("here")[side], F.col("there")[side], lambda x, y: F.coalesce(x == y, F.lit(False)))
+        stop = F.array_position(same, False)
+        return F.when(F.col("here.core") == F.col("there.core"), F.when(stop > 0, stop - 1).otherwise(F.size(same))).otherwise(0)
+
+    left = F.greatest(F.least(agree("left"), F.coalesce(F.col("a") - F.col("low"), F.col("a"))), F.lit(0))
+    right = F.greatest(F.least(agree("right"), F.coalesce(F.col("high") - F.col("b"), F.lit(reach))), F.lit(0))
+    long = both.select(*of, (F.col("a") - left).alias("a"), (F.col("b") + right).alias("b"))
+    long = written(long, "paragraph-extended")
+    first = long.select(*source).distinct().select("doc_id", F.lit(False).alias("removed"), F.col("doc_id").alias("first_id"), F.lit(0).cast("bigint").alias("shift"), "a", "b")
+    return long.unionByName(first).unionByName(found.filter("not removed"))
+
+
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage: int = PASSAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per repeated paragraph or passage of a document, the first occurrences included.
 
@@ -304,9 +362,11 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage
     # Passages: windows that repeat one stretch of one source.
     least = windows.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     same = windows.join(least, "key").select("doc_id", "a", "b", F.col("first.doc_id").alias("first_id"), (F.col("first.a") - F.col("a")).alias("shift"), (order != F.col("first")).alias("removed"))
-    found = _touching(same).select("doc_id", F.lit("passage").alias("kind"), "a", "b", "first_id", "removed", F.lit(None).cast("bigint").alias("n_same"))
-    found = written(found, "paragraph-passages")
+    found = written(_touching(same), "paragraph-windows")
     discard(units, shared, sets, links)
     release(spark)
+    found = _touching(_extended(keyed, found, kind, passage)).select("doc_id", F.lit("passage").alias("kind"), "a", "b", "first_id", "removed", F.lit(None).cast("bigint").alias("n_same"))
+    found = written(found, "paragraph-passages")
+    release(spark)
     out = rows.unionByName(found)
     return out.select(F.col("doc_id").alias(id_col), "kind", F.col("a").alias("first_word"), F.col("b").alias("end_word"), "first_id", "removed", "n_same")

@@ -121,3 +121,28 @@ def test_one_copy_stays(spark):
             assert all(len(gone[4 * g + k] & set(range(at[k], at[k] + len(part)))) >= 1 for k in (2, 3))
         first = {r.first_id for r in got if r.doc_id in (4 * g + 2, 4 * g + 3)}
         assert first <= {4 * g, 4 * g + 1} and 4 * g + 1 in first
+
+
+def test_passages_over_short_lines(spark):
+    """Passages over lines of 5 to 18 words, broken anew in every copy, are found whole, to the word."""
+    rng = random.Random(21)
+    prose = lambda n: [f"{rng.choice('bcdfg')}{rng.randrange(100000)}" for _ in range(n)]
+
+    def lines(words, least, most):
+        out = []
+        while words:
+            n = rng.randint(least, most)
+            out, words = [*out, " ".join(words[:n])], words[n:]
+        return "\n".join(out)
+
+    rows, want = [], {}
+    for g in range(120):
+        least, most = ((5, 8), (8, 12), (10, 14), (14, 18))[g % 4]
+        passage = prose(rng.randint(29, 90))
+        for k in range(3):
+            head = prose(rng.randint(0, 60))
+            rows.append((3 * g + k, lines(head + passage + prose(rng.randint(0, 60)), least, most)))
+            want[3 * g + k] = (len(head), len(head) + len(passage), 3 * g, k > 0)
+    got = repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.first_word, r.end_word, r.first_id, r.removed) for r in got if r.kind == "passage"} == want
+    assert len(got) == len(want)
