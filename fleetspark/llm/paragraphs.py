@@ -1,6 +1,7 @@
 """Substring duplicates by MinHash banding of paragraphs.
 
-Paragraphs are lines. Equal ones fall together by a hash; of the distinct ones,
+Paragraphs are lines. Equal ones fall together by a hash, whatever their
+length; of the distinct ones with five words or more,
 MinHash signatures over five-word shingles are cut into bands, tuned so that a
 pair at the least similarity shares a band in 99.8 of 100 cases. Paragraphs
 that share a band are verified by exact Jaccard similarity, verified links
@@ -39,8 +40,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 16 bands of 5 rows: 1 - (1 - 0.8 ** 5) ** 16 = 0.998 of pairs at similarity 0.8 collide.
 BANDS, ROWS = 16, 5
-#: Least words of a paragraph that is judged, and of a passage within paragraphs.
-PARAGRAPH, PASSAGE = 20, 16
+#: Least words of a paragraph that the query judges, of one that is judged unless said otherwise, and of a passage.
+PARAGRAPH, LONG, PASSAGE = 1, 20, 16
 #: Words of the strings whose hashes say whether a window is taken.
 PAIR = 2
 CHUNK = 1_000_000
@@ -51,8 +52,8 @@ UNITS = "kind tinyint, doc_id {id}, a bigint, b bigint, key bigint, bands array<
 class Scanner:
     """Words, paragraphs, signatures and windows of a chunk of texts, in whole-array steps."""
 
-    def __init__(self, passage: int) -> None:
-        self.passage = passage
+    def __init__(self, passage: int, paragraph: int) -> None:
+        self.passage, self.paragraph = passage, paragraph
         self.bytes, self.words = Hashes(21, 2 * CHUNK), Hashes(22, CHUNK)
         rng = np.random.default_rng(23)
         self.mix = rng.integers(0, 1 << 63, SHINGLE, dtype="uint64") * np.uint64(2) + np.uint64(1)
@@ -80,9 +81,13 @@ class Scanner:
         np.cumsum(word * self.words.power[: len(word)], out=run[1:])
         content = lambda at, n: mixed((run[at + n] - run[at]) * self.words.inverse[at] + n.astype("uint64"))
         in_doc = np.arange(len(word)) - np.searchsorted(doc, doc)
-        long = count >= PARAGRAPH
+        long = count >= self.paragraph
         at, n = first[long], count[long]
-        paragraphs = {"doc": doc[at], "a": in_doc[at], "b": in_doc[at] + n, "key": content(at, n), "bands": self._bands(word, at, n)}
+        key = content(at, n)
+        banded = np.zeros(len(at), bool)  # bands once for each distinct paragraph of the chunk that has a shingle
+        banded[np.unique(key, return_index=True)[1]] = True
+        banded &= n >= SHINGLE
+        paragraphs = {"doc": doc[at], "a": in_doc[at], "b": in_doc[at] + n, "key": key, "banded": banded, "bands": self._bands(word, at[banded], n[banded])}
         at, key = self._windows(doc, content)
         windows = {"doc": doc[at], "a": in_doc[at], "b": in_doc[at] + self.passage, "key": key}
         return paragraphs, windows
@@ -125,9 +130,9 @@ class Scanner:
         return at, content(at, np.full(len(at), self.passage))
 
 
-def _scan(passage: int):
+def _scan(passage: int, paragraph: int):
     def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(passage)
+        scanner = Scanner(passage, paragraph)
         ids: list[pa.Array] = []
         texts: list[bytes] = []
         size = 0
@@ -139,12 +144,9 @@ def _scan(passage: int):
                 if not x:
                     continue
                 n = len(x["a"])
-                if k == 0:  # bands once for each distinct paragraph of the chunk
-                    _, new = np.unique(x["key"], return_index=True)
-                    has = np.zeros(n, bool)
-                    has[new] = True
-                    offsets = np.concatenate([[0], np.cumsum(has * BANDS)]).astype("int32")
-                    bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(x["bands"][has].ravel().view("int64")))
+                if k == 0:
+                    offsets = np.concatenate([[0], np.cumsum(x["banded"] * BANDS)]).astype("int32")
+                    bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(x["bands"].ravel().view("int64")))
                 else:
                     bands = pa.nulls(n, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, k, "int8")), doc_ids.take(pa.array(x["doc"])), pa.array(x["a"].astype("int64")), pa.array(x["b"].astype("int64")), pa.array(x["key"].view("int64")), bands], ["kind", "doc_id", "a", "b", "key", "bands"])
@@ -314,22 +316,23 @@ def _extended(keyed: DataFrame, found: DataFrame, kind: str, reach: int) -> Data
     return long.unionByName(first).unionByName(found.filter("not removed"))
 
 
-def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage: int = PASSAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage: int = PASSAGE, id_col: str = "doc_id", text_col: str = "text", paragraph: int = LONG) -> DataFrame:
     """One row per repeated paragraph or passage of a document, the first occurrences included.
 
     Columns: id, kind ("paragraph" or "passage"), first_word and end_word (its
     words in the document), first_id (where a copy stands first: the smallest
     id), removed (false for first occurrences), n_same (occurrences of a
     paragraph's class). Documents without repeats have no row. Defined cases:
-    null and empty texts have no paragraphs; paragraphs under 20 words and
-    passages under 16 are left alone; rows without an id count as the last;
+    null and empty texts have no paragraphs; paragraphs under ``paragraph`` words
+    and passages under ``passage`` are left alone; paragraphs under five words
+    repeat only as exact copies; rows without an id count as the last;
     repeated rows are copies of each other; an empty table gives no rows; other
     columns are ignored. A paragraph's class is named by 64 bits.
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    scan = keyed.mapInArrow(_scan(passage), UNITS.format(id=kind))
+    scan = keyed.mapInArrow(_scan(passage, paragraph), UNITS.format(id=kind))
     units = written(scan, "paragraph-units")
     paragraphs, windows = units.filter("kind = 0"), units.filter("kind = 1")
 

@@ -25,9 +25,9 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated paragraphs and passages of all documents, with the document that has each first."""
-    from fleetspark.llm.paragraphs import repeated_paragraphs
+    from fleetspark.llm.paragraphs import PARAGRAPH, repeated_paragraphs
 
-    return repeated_paragraphs(_documents(spark, sf_dir)).withColumnRenamed("first_id", "first_doc_id")
+    return repeated_paragraphs(_documents(spark, sf_dir), paragraph=PARAGRAPH).withColumnRenamed("first_id", "first_doc_id")
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -146,3 +146,24 @@ def test_passages_over_short_lines(spark):
     got = repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert {r.doc_id: (r.first_word, r.end_word, r.first_id, r.removed) for r in got if r.kind == "passage"} == want
     assert len(got) == len(want)
+
+
+def test_short_paragraphs(spark, tmp_path):
+    """The query judges lines of every length: exact copies from one word on, near copies of 13 to 19 words."""
+    rng = random.Random(33)
+    prose = lambda n: [f"{rng.choice('bcdfg')}{rng.randrange(100000)}" for _ in range(n)]
+    rows, want = [], {}
+    for g in range(100):
+        n = g % 19 + 1
+        line = prose(n)
+        for k in range(3):
+            same = [*line[:-1], f"x{g}{k}"] if n >= 13 and k else line
+            rows.append((3 * g + k, " ".join(prose(25)) + "\n" + " ".join(same)))
+            want[3 * g + k] = (25, 25 + n, 3 * g, k > 0, 3)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r for r in queries.op2_paragraph_dedup(spark, str(tmp_path)).collect() if r.kind == "paragraph"]
+    found = {r.doc_id: (r.first_word, r.end_word, r.first_doc_id, r.removed, r.n_same) for r in got}
+    assert len(found) == len(got) >= 0.98 * len(want) and set(found) <= set(want)
+    exact = {d: x for d, x in want.items() if x[1] - x[0] < 13}
+    assert {d: found.get(d) for d in exact} == exact
+    assert all(x[:2] == want[d][:2] and (x[4] < 3 or x == want[d]) for d, x in found.items())
