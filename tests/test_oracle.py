@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from fleetspark.plans.oracle import ORACLE as LIBRARY_ORACLE
 from fleetspark.plans.queries import QUERIES as LIBRARY
 from oracle_compare import compare, duck_connection
-from conftest import SF_ORACLE, SF_SMALL
+from table_dirs import SF_ORACLE, SF_SMALL
 
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()

@@ -13,7 +13,7 @@ from fleetspark.sources import archive as A
 from fleetspark.sources.readings import load_messages
 from fleetspark.streaming import ingest as S
 from fleetspark.streaming.monitoring import lag_report, rates
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 
 
 def _rows(df, cols):
