@@ -99,6 +99,38 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and sums of distances of every vector after ten rounds from eight hashed starts."""
+    from fleetspark.llm.centroids import cluster_vectors
+
+    found = cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    centroid = F.sha2(F.array_join("centroid", ",").cast("binary"), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroid.alias("centroid_sha256"))
+
+
+def op12_phrase_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in benchmark passages, and the items found; items with near matches are counted too."""
+    from fleetspark.llm.phrases import contaminated_documents
+
+    found = contaminated_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    ids = lambda c: F.array_distinct(F.array_compact(F.transform(c, lambda m: m["item_id"])))
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    found = found.select("doc_id", "n_words", hit.alias("n_hit"), F.array_sort(ids("phrases")).alias("items"), F.size(ids("near")).cast("bigint").alias("n_near_items"))
+    items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near_items")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and error of every vector, errors by label, and the codebooks' hash."""
+    import hashlib
+
+    from fleetspark.llm.vector_codes import code_text, compress_vectors
+
+    coded, books = compress_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return coded.select("vec_id", code_text(F.col("codes")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_ordinal_quality": op1_ordinal_quality,
     "op2_paragraph_dedup": op2_paragraph_dedup,
@@ -110,5 +142,8 @@ QUERIES = {
     "op8_wavelet_tokens": op8_wavelet_tokens,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_phrase_decontamination": op12_phrase_decontamination,
+    "op13_vector_codes": op13_vector_codes,
 }
 
