@@ -38,7 +38,9 @@ WITHIN = 20
 #: Words that no document has between two documents of a shard; phrases and stretches must be shorter.
 GAP = 64
 #: Bytes of text in a shard (or one longer text), and bytes hashed at once.
-SHARD, BLOCK = 4 << 20, 1 << 17
+SHARD, BLOCK = 16 << 20, 1 << 17
+#: Places of rarest terms that a search looks at at once, and a number above all places of a shard.
+MOST_PLACES, PLACES = 1 << 20, 1 << 33
 #: Characters of benchmark text searched for in one pass over the index; more are searched in further passes.
 MOST_TEXT = 4_000_000
 INDEX = "shard bigint, term binary, n int, postings binary"
@@ -206,44 +208,58 @@ class Phrases:
         self.flat, self.start, self.length, self.item = np.array(flat, "int64"), join(start), join(length), join(item)
 
 
-def holds(places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Which wanted numbers are among sorted places."""
-    at = np.searchsorted(places, wanted)
-    return places[np.minimum(at, len(places) - 1)] == wanted
-
-
-def starts_of(window: np.ndarray, lists: dict[int, np.ndarray]) -> np.ndarray:
-    """Where a window stands: its terms' lists moved by their offsets and intersected, rarest first."""
-    order = sorted(range(len(window)), key=lambda i: len(lists[window[i]]))
-    found = lists[window[order[0]]] - order[0]
-    for i in order[1:]:
-        found = found[holds(lists[window[i]], found + i)]
-        if not len(found):
-            break
-    return found
-
-
-def near_starts(window: np.ndarray, lists: dict[int, np.ndarray], within: int) -> np.ndarray:
-    """First places of stretches of ``within`` words that hold all of a window's words and begin with one of them."""
-    terms = sorted(set(window), key=lambda t: len(lists[t]))
-    anchors = lists[terms[0]]
-    for t in terms[1:]:
-        if not len(anchors):
-            return anchors
-        next_at = np.minimum(np.searchsorted(lists[t], anchors - within + 1), len(lists[t]) - 1)
-        anchors = anchors[np.abs(lists[t][next_at] - anchors) < within]
-    if not len(anchors):
-        return anchors
-    begin = np.unique((anchors[:, None] - np.arange(within)).ravel())
-    begins_with = np.zeros(len(begin), bool)
-    for t in terms:
-        at = np.minimum(np.searchsorted(lists[t], begin), len(lists[t]) - 1)
-        ahead = lists[t][at] - begin
+class Lists:
+    """The postings of one shard for the terms of some items, as one sorted array of (term, place) keys."""
+
+    def __init__(self, tid: np.ndarray, postings: list[bytes], terms: int):
+        order = np.argsort(tid)
+        n = np.array([len(postings[i]) // 4 for i in order], "int64")
+        steps = np.frombuffer(b"".join([postings[i] for i in order]), "<u4").astype("int64")
+        self.begin, self.count = np.zeros(terms, "int64"), np.zeros(terms, "int64")
+        begin = np.cumsum(n) - n
+        self.begin[tid[order]], self.count[tid[order]] = begin, n
+        run = np.cumsum(steps)
+        place = run - np.repeat(run[begin] - steps[begin], n) + GAP
+        self.keys = np.repeat(tid[order].astype("int64") * PLACES, n) + place
+
+    def of(self, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For several terms at once: which of them, and its places."""
+        n = self.count[term]
+        which = np.repeat(np.arange(len(term)), n)
+        at = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.begin[term], n)
+        return which, self.keys[at] - term[which] * PLACES - GAP
+
+    def next_from(self, term: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """How far behind each place the next one of the term is; far if there is none."""
+        wanted = term * PLACES + place + GAP
+        at = np.searchsorted(self.keys, wanted)
+        return self.keys[np.minimum(at, len(self.keys) - 1)] - wanted + np.where(at == len(self.keys), 2 * PLACES, 0)
+
+
+def exact_starts(lists: Lists, terms: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows (rows: terms from the rarest up, and their offsets) stand where: the rarest term's places, kept if each next term stands there too."""
+    which, place = lists.of(terms[:, 0])
+    start = place - offsets[which, 0]
+    for r in range(1, terms.shape[1]):
+        ok = lists.next_from(terms[which, r], start + offsets[which, r]) == 0
+        which, start = which[ok], start[ok]
+    return which, start
+
+
+def near_starts(lists: Lists, terms: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows have all their words in a stretch of ``within`` words, and where such stretches start, each with one of the words."""
+    which, anchor = lists.of(terms[:, 0])
+    for r in range(1, terms.shape[1]):
+        ok = lists.next_from(terms[which, r], anchor - within + 1) <= 2 * within - 2
+        which, anchor = which[ok], anchor[ok]
+    both = np.unique(((which * PLACES + anchor + GAP)[:, None] - np.arange(within)).ravel())
+    which, start = both // PLACES, both % PLACES - GAP
+    leads = np.zeros(len(start), bool)
+    for r in range(terms.shape[1]):
+        ahead = lists.next_from(terms[which, r], start)
         ok = (ahead >= 0) & (ahead < within)
-        begin, begins_with = begin[ok], (begins_with | (ahead == 0))[ok]
-        if not len(begin):
-            break
-    return begin[begins_with]
+        which, start, leads = which[ok], start[ok], (leads | (ahead == 0))[ok]
+    return which[leads], start[leads]
 
 
 def union(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -269,25 +285,33 @@ def _search(phrases: Phrases, within: int):
         return a // far, a % far, a % far + b - a
 
     def search(group: pa.Table) -> pa.Table:
-        tid, steps = group.column("tid").to_numpy(), group.column("postings").to_pylist()
-        lists = {int(t): np.cumsum(np.frombuffer(s, "<u4").astype("int64")) for t, s in zip(tid, steps, strict=True)}
-        base = lists.pop(0)
-        present = np.zeros(len(phrases.terms), bool)
-        present[list(lists)] = True
-        have = np.concatenate([[0], np.cumsum(present[phrases.flat])])
+        lists = Lists(group.column("tid").to_numpy(), group.column("postings").to_pylist(), len(phrases.terms))
+        base = lists.of(np.array([0]))[1]
+        have = np.concatenate([[0], np.cumsum(lists.count[phrases.flat] > 0)])
         whole = np.flatnonzero(have[phrases.start + phrases.length] - have[phrases.start] == phrases.length)
+        # The windows' terms from the rarest of this shard up; shorter windows repeat their last term.
+        offsets = np.minimum(np.arange(phrases.length[whole].max(initial=1)), phrases.length[whole][:, None] - 1)
+        terms = phrases.flat[phrases.start[whole][:, None] + offsets] if len(whole) else offsets
+        order = np.argsort(lists.count[terms], axis=1, kind="stable")
+        terms, offsets = np.take_along_axis(terms, order, 1), np.take_along_axis(offsets, order, 1)
         exact, near = [], []
-        for w in whole.tolist():
-            at, size, item = int(phrases.start[w]), int(phrases.length[w]), phrases.item[w]
-            window = phrases.flat[at : at + size].tolist()
-            for found, starts, reach in ((exact, starts_of(window, lists), size), (near, near_starts(window, lists, within) if size <= within else (), within)):
-                if len(starts):
-                    found.append((np.full(len(starts), item), starts, starts + reach))
+        load = np.cumsum(lists.count[terms[:, 0]]) if len(whole) else np.zeros(0, "int64")
+        at = 0
+        while at < len(whole):
+            to = max(at + 1, int(np.searchsorted(load, (load[at - 1] if at else 0) + MOST_PLACES, "right")))
+            which, start = exact_starts(lists, terms[at:to], offsets[at:to])
+            w = whole[at + which]
+            exact.append((phrases.item[w], start, start + phrases.length[w]))
+            which, start = near_starts(lists, terms[at:to], within)
+            w = whole[at + which]
+            fits = phrases.length[w] <= within
+            near.append((phrases.item[w][fits], start[fits], start[fits] + within))
+            at = to
         shard = group.column("shard")[0].as_py()
         rows: dict[int, list] = {}
         ends = np.append(base[1:] - GAP, np.iinfo("int64").max)
         for kind, found in ((1, exact), (2, near)):
-            if found:
+            if any(len(x[0]) for x in found):
                 item, start, end = matches(found)
                 doc = np.searchsorted(base, start, "right") - 1
                 for i, d, s, e in zip(item.tolist(), doc.tolist(), (start - base[doc]).tolist(), (np.minimum(end, ends[doc]) - base[doc]).tolist(), strict=True):
