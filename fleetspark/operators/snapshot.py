@@ -7,7 +7,7 @@ key (one shuffle of two tables of one row per key); closed versions are
 passed through untouched.
 
 * timestamp strategy: a key changed when its ``updated_at`` is newer than the
-  open version's ``valid_from``; the open version closes at the new
+  open version's ``valid_from`` (any time is newer than none); the open version closes at the new
   ``updated_at``, which is also the new version's ``valid_from``.
 * check strategy: a key changed when any ``check_cols`` value differs
   (NULL-safe); versions open and close at ``now``.
@@ -25,8 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetspark.operators.incremental import read_if_exists
-from fleetspark.session import work_path
+from fleetspark.sources.versioned import Version, VersionedTable
 
 
 def _scd_id(key: Sequence[str], valid_from: Column) -> Column:
@@ -78,7 +77,8 @@ def scd2(
     has_new = F.col(f"k__{key[0]}").isNotNull()
     if updated_at is not None:
         new_start = F.col(f"c__{updated_at}")
-        changed = has_open & has_new & (F.col("o__valid_from") < new_start)
+        older = F.coalesce(F.col("o__valid_from") < new_start, F.col("o__valid_from").isNull() & new_start.isNotNull())
+        changed = has_open & has_new & older
     else:
         new_start = start
         diff = None
@@ -98,21 +98,45 @@ def scd2(
     return closed.select(*out_cols).unionByName(kept_open.select(*out_cols)).unionByName(inserted.select(*out_cols))
 
 
-def snapshot(
-    spark: SparkSession,
-    current: DataFrame,
-    path: str,
-    key: Sequence[str] | str,
-    updated_at: str | None = None,
-    check_cols: Sequence[str] | None = None,
-    now: dt.datetime | str | None = None,
-) -> None:
-    """Runs ``scd2`` against the history stored at ``path`` and stores the result (staged, then swapped)."""
-    history = read_if_exists(spark, path)
-    new = scd2(history, current, key, updated_at=updated_at, check_cols=check_cols, now=now)
-    staged = work_path(spark, "snapshot")
-    new.write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+#: The partition of open versions; closed ones lie in that of the month they closed in.
+OPEN = "open"
+CLOSED = "closed_in"
+
+
+class History:
+    """A stored history that only grows: closed versions are written once, a run rewrites just the open ones.
+
+    The table is a versioned one, partitioned by the month in which a version
+    closed. A run reads the open partition, adds the versions it closes to their
+    months and puts the new open partition in place of the old by one manifest,
+    so what it writes depends on the number of keys, not on the history behind
+    them, and a run that dies changes nothing. ``at`` reads the open partition and
+    the months from the asked time on.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str] | str):
+        self.table = VersionedTable(spark, path)
+        self.key = [key] if isinstance(key, str) else list(key)
+
+    def run(self, current: DataFrame, updated_at: str | None = None, check_cols: Sequence[str] | None = None, now: dt.datetime | str | None = None, keep: int = 2) -> Version:
+        """Takes the dimension's current state in (see ``scd2``); the history's newest version is the base."""
+        base = self.table.version()
+        opened = [e for e in base.entries if e.partition == f"{CLOSED}={OPEN}"] if base else []
+        before = self.table.rows(base.schema, opened).drop(CLOSED) if base else None
+        after = scd2(before, current, self.key, updated_at=updated_at, check_cols=check_cols, now=now)
+        month = F.coalesce(F.date_format(F.col("valid_to").cast("timestamp"), "yyyy-MM"), F.lit(OPEN))
+        version = self.table.replace_files(after.withColumn(CLOSED, month), opened, base.number if base else 0, [CLOSED])
+        self.table.expire(keep)
+        return version
+
+    def read(self) -> DataFrame:
+        return self.table.read().drop(CLOSED)
+
+    def at(self, t: dt.datetime | str) -> DataFrame:
+        """Versions valid at ``t``; months that closed before it are not read."""
+        month = F.date_format(F.lit(t).cast("timestamp"), "yyyy-MM")
+        # The open partition's name sorts after every month.
+        return as_of(self.table.read().where(F.col(CLOSED) >= month).drop(CLOSED), t)
 
 
 def current_rows(history: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ Staging is computed once and written; the marts read the written table, so the
 decode, the de-duplication shuffle and the distance window run once per build.
 Staging is partitioned by ``event_date`` so that incremental readers prune.
 
-Steps form a graph. A step publishes its table only when its checks pass
+Every table is a versioned one: its readers see the last version whole until the
+next is put. Steps form a graph. A step publishes its table only when its checks pass
 (Q33); if they do not, the previous table stays and every step that needs the
 failed one is skipped and reported as such. The rule checks of the raw messages
 come first.
@@ -19,12 +20,12 @@ from pyspark.sql import functions as F
 
 from fleetspark.model import ACCEPTED_EVENT_TYPES, ACCEPTED_VEHICLE_TYPES
 from fleetspark.operators import marts
-from fleetspark.operators.incremental import merge_upsert, new_since, read_if_exists
-from fleetspark.operators.snapshot import snapshot
+from fleetspark.operators.incremental import new_since
+from fleetspark.operators.snapshot import History
 from fleetspark.operators.staging import stage_readings
 from fleetspark.plans import quality as q
 from fleetspark.plans.quality import Check
-from fleetspark.session import discard_path, work_path
+from fleetspark.sources.versioned import VersionedTable, merge_into
 
 
 def source_failures(messages: DataFrame) -> dict[str, int]:
@@ -35,22 +36,21 @@ def source_failures(messages: DataFrame) -> dict[str, int]:
 
 def publish_events(spark: SparkSession, stg: DataFrame, dim: DataFrame, path: str) -> dict:
     """Merges the events of new readings into the event fact if they pass its checks."""
-    new = marts.vehicle_events(new_since(stg, read_if_exists(spark, path)))
-    staged = work_path(spark, "new-events")
-    new.write.parquet(staged)
-    events = spark.read.schema(new.schema).parquet(staged)
+    table = VersionedTable(spark, path)
+    new = marts.vehicle_events(new_since(stg, table.read_or_none()))
     checks = [
         q.Check("event_id_unique", lambda df: q.check_unique(df, "event_id")),
-        q.Check("event_id_not_null", lambda df: q.check_not_null(df, "event_id")),
         q.Check("vehicle_in_dim", lambda df: q.check_relationship(df, "vehicle_id", dim, "vehicle_id")),
-        q.Check("event_type_accepted", lambda df: q.check_accepted_values(df, "event_type", ACCEPTED_EVENT_TYPES)),
     ]
-    failures = {r["check"]: r["failures"] for r in q.run_checks(events, checks).collect()}
-    passed = not any(failures.values())
-    if passed:
-        merge_upsert(spark, events, path, ["event_id"], ["event_date"])
-    discard_path(spark, staged)
-    return {"published": passed, "failures": failures}
+
+    def failures(events: DataFrame) -> dict[str, int]:
+        rows = {"event_id_not_null": F.col("event_id").isNull(), "event_type_accepted": ~F.col("event_type").isin(ACCEPTED_EVENT_TYPES)}
+        counted = q.count_failures(events, rows).unionByName(q.run_checks(events, checks))
+        return {r["check"]: r["failures"] for r in counted.collect()}
+
+    version, failed = merge_into(table, new, ["event_id"], ["event_date"], failures)
+    table.expire()
+    return {"published": version is not None, "failures": failed}
 
 
 def build(spark: SparkSession, messages: DataFrame, out: str, snapshot_runs: bool = True, source_checks: str = "error") -> dict:
@@ -62,7 +62,7 @@ def build(spark: SparkSession, messages: DataFrame, out: str, snapshot_runs: boo
     """
     out = out.rstrip("/")
     report: dict = {"timings": {}}
-    table = lambda name: spark.read.parquet(f"{out}/{name}")
+    table = lambda name: VersionedTable(spark, f"{out}/{name}").read()
 
     def step(name: str, needs: tuple[str, ...], run) -> None:
         unmet = [n for n in needs if not report[n]["published"]]
@@ -75,14 +75,14 @@ def build(spark: SparkSession, messages: DataFrame, out: str, snapshot_runs: boo
 
     def gated(name: str, make, not_null: tuple[str, ...], unique: Check, extra: dict | None = None, partition_by: tuple[str, ...] = ()):
         rows = {f"{c}_not_null": F.col(c).isNotNull() for c in not_null} | (extra or {})
-        return lambda: q.publish_if_valid(spark, make(), rows, f"{out}/{name}", table_checks=[unique], partition_by=partition_by)
+        return lambda: q.publish_version(spark, make(), rows, f"{out}/{name}", table_checks=[unique], partition_by=partition_by)
 
     def sources() -> dict:
         failures = source_failures(messages)
         return {"published": source_checks == "report" or not failures, "failures": failures}
 
     def history() -> dict:
-        snapshot(spark, table("dim_vehicles"), f"{out}/dim_vehicles_snapshot", "vehicle_id", updated_at="last_seen_at")
+        History(spark, f"{out}/dim_vehicles_snapshot", "vehicle_id").run(table("dim_vehicles"), updated_at="last_seen_at")
         return {"published": True, "failures": {}}
 
     one_vehicle = q.Check("vehicle_id_unique", lambda df: q.check_unique(df, "vehicle_id"))

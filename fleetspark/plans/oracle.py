@@ -419,3 +419,42 @@ cross join (select count(*) filter (where not coalesce(speed_kmh, 0) between 0 a
     or not regexp_matches(vehicle_id, '^vehicle-[0-9]{3}$') or fuel_level_pct < 0) as breaks,
   count(*) filter (where vehicle_type = 'BUS') as buses from m) n
 """)
+
+# Versions count up by what is published; a table keeps its last two.
+ORACLE["Q33_publish_versions"] = with_readings(
+    """
+select attempt, version, case when version is not null then rows end as rows,
+  coalesce(version = last, false) as visible, coalesce(version >= last - 1, false) as readable
+from (
+  select *, max(version) over () as last from (
+    select 'first' as attempt, 1 as version, (select count(*) from fine where ingested_at < timestamp '2024-01-16') as rows
+    union all select 'unchecked', case when bad = 0 then 2 end, (select count(*) from dedup) from broken
+    union all select 'full', case when bad = 0 then 3 else 2 end, (select count(*) from fine) from broken
+    union all select 'late', null, null
+    union all select 'odd_days', case when bad = 0 then 4 else 3 end,
+      (select count(*) from odd) + (select count(*) from fine where event_date not in (select event_date from odd)) from broken
+  )
+)
+""",
+    """
+fine as (select * from dedup where speed_kmh <= 250),
+broken as (select count(*) as bad from dedup where not coalesce(speed_kmh <= 250, false)),
+odd as (select * from fine where day(event_date) % 2 = 1 and speed_kmh <= 100)
+""",
+)
+
+ORACLE["E3_carry_scan"] = with_readings("""
+select message_id, vehicle_id, recorded_at, odometer_km,
+  lag(odometer_km) over (partition by vehicle_id order by recorded_at nulls first, message_id) as previous_odometer_km
+from (
+  select message_id, case when kafka_offset % 3 = 0 then 'vehicle-hot' else vehicle_id end as vehicle_id,
+    case when kafka_offset % 12 < 3 then timestamp '2024-01-01' else recorded_at end as recorded_at, odometer_km
+  from dedup
+)
+""")
+
+# A stream's end state is that of the batch over all it was fed.
+ORACLE["S8_stream_daily"] = ORACLE["D2_daily"]
+ORACLE["S8_stream_chart"] = ORACLE["D10_time_chart"]
+ORACLE["S10_stream_state"] = ORACLE["S10_latest_state"]
+ORACLE["S12_stream_rates"] = ORACLE["S12_rates"]

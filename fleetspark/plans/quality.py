@@ -8,7 +8,8 @@ Generic checks return the failing rows: ``check_unique``, ``check_not_null``,
 ``check_accepted_values``, ``check_relationship`` (left anti join),
 ``check_unique_combination``, ``check_freshness``. ``publish_if_valid`` runs
 all checks in one pass over a staged write (``Observation``) and only then
-moves the staged table into place.
+moves the staged table into place; ``publish_version`` does the same for a
+versioned table, where the checked files become visible by one manifest.
 """
 
 from __future__ import annotations
@@ -192,3 +193,37 @@ def publish_if_valid(
             writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
         writer.parquet(path)
     return {"published": passed, "rows": int(metrics.get("_rows") or 0), "failures": failures, "staged": staged}
+
+
+def publish_version(
+    spark: SparkSession,
+    df: DataFrame,
+    row_checks: Mapping[str, Column],
+    path: str,
+    table_checks: Sequence[Check] = (),
+    partition_by: Sequence[str] = (),
+    base: int | None = None,
+    keep: int = 2,
+) -> dict:
+    """Gate (Q33) onto a versioned table: the rows are written once, checked, and then made visible by one manifest.
+
+    ``row_checks`` are counted while the rows are written, ``table_checks`` on
+    what was written. If all pass, the written files become the next version;
+    otherwise they are deleted and readers never see them. ``base`` is the
+    version that ``df`` was made from: a publisher that lost the race to it gets
+    ``Conflict`` and its files are deleted too.
+    """
+    from fleetspark.sources.versioned import VersionedTable
+
+    table = VersionedTable(spark, path)
+    written = table.write(df, partition_by, {n: F.count_if(not_true(c)) for n, c in row_checks.items()})
+    failures = {n: int(written.metrics.get(n) or 0) for n in row_checks}
+    rows = table.rows(written.schema, written.entries)
+    failures |= {c.name: c.failing(rows).count() for c in table_checks}
+    report = {"published": False, "rows": int(written.metrics.get("rows") or 0), "failures": failures, "version": None}
+    if any(failures.values()):
+        table.discard(written)
+        return report
+    version = table.replace(written, base=base)
+    table.expire(keep)
+    return report | {"published": True, "version": version.number}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.model import STAGING_COLUMNS
 from fleetspark.operators import marts
-from fleetspark.operators.staging import flatten_readings, stage_readings
+from fleetspark.operators.staging import first_readings, flatten_readings, stage_readings
 from fleetspark.sources.readings import load_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_readings(load_messages(spark, sf_dir))
 
 
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging without the distance, for marts that need none: nothing is written for them."""
+    return first_readings(load_messages(spark, sf_dir))
+
+
 def _round(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -43,31 +48,31 @@ def q_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dim_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.dim_vehicles(staging(spark, sf_dir))
+    return marts.dim_vehicles(readings(spark, sf_dir))
 
 
 def q_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _arrays_as_text(marts.latest_status(staging(spark, sf_dir)), ["dtc_codes"])
+    return _arrays_as_text(marts.latest_status(readings(spark, sf_dir)), ["dtc_codes"])
 
 
 def q_vehicle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.vehicle_events(staging(spark, sf_dir))
+    return marts.vehicle_events(readings(spark, sf_dir))
 
 
 def q_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(marts.hourly(staging(spark, sf_dir)), ["avg_speed_kmh"])
+    return _round(marts.hourly(readings(spark, sf_dir)), ["avg_speed_kmh"])
 
 
 def q_time_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(marts.time_chart(staging(spark, sf_dir), "speed_kmh", "15 minutes"), ["avg_speed_kmh"])
+    return _round(marts.time_chart(readings(spark, sf_dir), "speed_kmh", "15 minutes"), ["avg_speed_kmh"])
 
 
 def q_count_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.count_by(staging(spark, sf_dir), ["vehicle_type"])
+    return marts.count_by(readings(spark, sf_dir), ["vehicle_type"])
 
 
 def q_search_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = marts.search_events(staging(spark, sf_dir), event="speeding", min_engine_temp=150, check_engine_light=True)
+    found = marts.search_events(readings(spark, sf_dir), event="speeding", min_engine_temp=150, check_engine_light=True)
     return _arrays_as_text(
         found.select("message_id", "vehicle_id", "recorded_at", "speed_kmh", "engine_temp_c", "check_engine_light", "events"),
         ["events"],
@@ -163,8 +168,8 @@ def q_incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = load_messages(spark, sf_dir)
     path = work_path(spark, "fct_vehicle_events")
     first = msgs.where(F.col("ingested_at") < F.lit(INCREMENT_CUT).cast("timestamp_ntz"))
-    incremental_events(spark, stage_readings(first), path)
-    everything = stage_readings(msgs)
+    incremental_events(spark, first_readings(first), path)
+    everything = first_readings(msgs)
     incremental_events(spark, everything, path)
     incremental_events(spark, everything, path)  # a rerun changes nothing
     return spark.read.parquet(path)
@@ -174,7 +179,7 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fleetspark.operators.snapshot import scd2
     from fleetspark.session import materialize
 
-    stg = materialize(staging(spark, sf_dir))
+    stg = materialize(readings(spark, sf_dir))
     history = None
     for cut in SNAPSHOT_CUTS:
         rows = stg if cut is None else stg.where(F.col("recorded_at") < F.lit(cut).cast("timestamp_ntz"))
@@ -394,9 +399,9 @@ def q_merge_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fleetspark.operators.staging import dedup_first
     from fleetspark.session import work_path
 
-    readings = dedup_first(flatten_readings(load_messages(spark, sf_dir)))
+    firsts = dedup_first(flatten_readings(load_messages(spark, sf_dir)))
     day = F.when(F.col("kafka_offset") % 5 != 0, F.col("event_date"))
-    rows = readings.select("message_id", "kafka_offset", day.alias("event_date"))
+    rows = firsts.select("message_id", "kafka_offset", day.alias("event_date"))
     path = work_path(spark, "merge-null")
     turn = F.col("kafka_offset") % 3
     merge_upsert(spark, rows.where(turn < 2).withColumn("version", F.lit(1)), path, ["message_id"], ["event_date"])
@@ -409,9 +414,9 @@ def q_full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fleetspark.plans.quality import publish_if_valid
     from fleetspark.session import work_path
 
-    readings = staging(spark, sf_dir).select("message_id", "event_date")
+    rows = readings(spark, sf_dir).select("message_id", "event_date")
     path = work_path(spark, "rebuild")
-    for run in (readings, readings.where(F.dayofmonth("event_date") % 2 == 1)):
+    for run in (rows, rows.where(F.dayofmonth("event_date") % 2 == 1)):
         publish_if_valid(spark, run, {}, path, partition_by=["event_date"])
     return spark.read.parquet(path).select("message_id", "event_date")
 
@@ -449,3 +454,174 @@ QUERIES["A6_archive_append"] = q_archive_append
 QUERIES["I2_merge_null_partition"] = q_merge_null_partition
 QUERIES["A10_full_rebuild"] = q_full_rebuild
 QUERIES["E3_previous_reading"] = q_previous_reading
+
+
+PUBLISH_CUT = "2024-01-16 00:00:00"
+SPEED_LIMIT = 250
+
+
+def q_publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What publishers put into a versioned table and what readers see of it (Q33, A10).
+
+    A first load; one that breaks a check; a full load; a publisher that began
+    before that and lost; a replacement of the odd days. Two versions are kept.
+    """
+    from fleetspark.operators.staging import dedup_first
+    from fleetspark.plans.quality import publish_version
+    from fleetspark.session import work_path
+    from fleetspark.sources.versioned import Conflict, VersionedTable
+
+    readings = dedup_first(flatten_readings(load_messages(spark, sf_dir))).select("message_id", "vehicle_id", "event_date", "ingested_at", "speed_kmh")
+    within = {"speed_within_limit": F.col("speed_kmh") <= SPEED_LIMIT}
+    fine = readings.where(F.col("speed_kmh") <= SPEED_LIMIT)
+    path = work_path(spark, "published")
+    table = VersionedTable(spark, path)
+    rows: dict[int, int] = {}
+    attempts: list[tuple[str, int | None]] = []
+
+    def attempt(name: str, run) -> None:
+        try:
+            version = run()
+        except Conflict:
+            version = None
+        if version is not None:
+            rows[version] = table.read(version).count()
+        attempts.append((name, version))
+
+    gate = lambda df, base=None: publish_version(spark, df, within, path, partition_by=["event_date"], base=base)["version"]
+    early = fine.where(F.col("ingested_at") < F.lit(PUBLISH_CUT).cast("timestamp_ntz"))
+    attempt("first", lambda: gate(early))
+    attempt("unchecked", lambda: gate(readings))
+    attempt("full", lambda: gate(fine))
+    attempt("late", lambda: gate(early, base=1))
+    odd = fine.where((F.dayofmonth("event_date") % 2 == 1) & (F.col("speed_kmh") <= 100))
+    attempt("odd_days", lambda: table.replace_partitions(odd, ["event_date"]).number)
+    table.expire(2)
+    known = table.versions()
+    out = [(name, v, rows.get(v), bool(v) and v == known[-1], v in known) for name, v in attempts]
+    return spark.createDataFrame(out, "attempt string, version int, rows bigint, visible boolean, readable boolean")
+
+
+QUERIES["Q33_publish_versions"] = q_publish_versions
+
+
+def q_carry_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous odometer where one vehicle sends a third of all readings and a quarter of them have one time."""
+    from fleetspark.operators.staging import carry_previous
+
+    rows = first_readings(load_messages(spark, sf_dir))
+    hot = F.when(F.col("kafka_offset") % 3 == 0, F.lit("vehicle-hot")).otherwise(F.col("vehicle_id"))
+    stuck = F.when(F.col("kafka_offset") % 12 < 3, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("recorded_at"))
+    rows = rows.select("message_id", hot.alias("vehicle_id"), stuck.alias("recorded_at"), "odometer_km")
+    return carry_previous(rows, "vehicle_id", ["recorded_at", "message_id"], "odometer_km", "previous_odometer_km")
+
+
+QUERIES["E3_carry_scan"] = q_carry_scan
+
+
+# -- streams with keyed state ----------------------------------------------
+
+HEARTBEAT = "heartbeat"
+
+
+def _feed_out_of_order(spark: SparkSession, rows: DataFrame, name: str, run) -> None:
+    """Feeds readings in three parts by a time of arrival up to four hours after their own, then a heartbeat that lets the watermark pass them."""
+    from fleetspark.session import materialize, work_path
+
+    rows = materialize(rows.withColumn("arrived", F.col("recorded_at") + F.make_dt_interval(hours=(F.col("kafka_offset") % 5).cast("int"))))
+    part = _chunk(rows, "arrived")
+    src = work_path(spark, f"{name}-src")
+    schema = rows.drop("arrived").schema
+    for c in range(STREAM_CHUNKS + 1):
+        if c < STREAM_CHUNKS:
+            new = rows.where(part == c).drop("arrived")
+        else:
+            beat = {"vehicle_id": F.lit(HEARTBEAT), "message_id": F.lit(HEARTBEAT), "recorded_at": F.col("last") + F.expr("interval 3 days")}
+            last = rows.agg(F.max("recorded_at").alias("last"))
+            new = last.select(*[beat.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+        new.write.mode("append").parquet(src)
+        run(spark.readStream.schema(schema).parquet(src))
+
+
+def _stream_fact(spark: SparkSession, sf_dir: str, name: str, fact) -> DataFrame:
+    from fleetspark.session import work_path
+    from fleetspark.sources.versioned import VersionedTable
+    from fleetspark.streaming.keyed_state import append_once, start
+
+    table, ckpt = VersionedTable(spark, work_path(spark, f"{name}-out")), work_path(spark, f"{name}-ckpt")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_once(table, batch, batch_id)
+
+    _feed_out_of_order(spark, readings(spark, sf_dir), name, lambda stream: start(fact(stream), write, ckpt).awaitTermination())
+    return table.read()
+
+
+def _without_zone(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def q_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole daily fact from a stream that is out of order: keyed distances, then windows in append mode."""
+    from fleetspark.streaming.keyed_state import daily_fact, fact_measures, stream_steps
+
+    daily = _stream_fact(spark, sf_dir, "stream-daily", lambda stream: daily_fact(stream_steps(fact_measures(stream))))
+    daily = _round(daily, ["distance_km", "avg_speed_kmh", "avg_moving_speed_kmh", "avg_engine_temp_c"])
+    return _without_zone(daily, ["first_reading_at", "last_reading_at"])
+
+
+def q_stream_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time chart from the same stream."""
+    from fleetspark.streaming.keyed_state import chart_fact
+
+    chart = _stream_fact(spark, sf_dir, "stream-chart", chart_fact)
+    return _without_zone(_round(chart, ["avg_speed_kmh"]), ["window_start", "window_end"])
+
+
+def _feed_parts(spark: SparkSession, df: DataFrame, part: str, name: str, run) -> None:
+    _feed_in_chunks(spark, df.withColumnRenamed(part, "_part"), F.col("_part"), name, lambda stream: run(stream.drop("_part")))
+
+
+def q_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compacted changelog kept by a stream with replays and late tombstones, folded once in between."""
+    from fleetspark.session import work_path
+    from fleetspark.streaming.keyed_state import ChangeLog
+
+    log, ckpt = ChangeLog(spark, work_path(spark, "changelog"), buckets=8), work_path(spark, "changelog-ckpt")
+    records = control_changelog(spark, sf_dir).withColumn("at", F.timestamp_seconds("offset"))
+    # A seventh comes only in the last part, and a fifth of the first part comes again there.
+    part = F.when(F.col("offset") % 7 == 0, STREAM_CHUNKS - 1).otherwise(_chunk(records, "at"))
+    parts = F.when((part == 0) & (F.col("offset") % 5 == 0), F.array(part, F.lit(STREAM_CHUNKS - 1))).otherwise(F.array(part))
+    fed = records.select("key", "value", "offset", F.explode(parts).alias("part"))
+    runs = iter(range(STREAM_CHUNKS))
+
+    def run(stream: DataFrame) -> None:
+        log.start(stream, ckpt).awaitTermination()
+        if next(runs) == 1:
+            log.compact()
+
+    _feed_parts(spark, fed, "part", "changelog", run)
+    return log.read().select("key", F.col("value.paused").alias("paused"), F.col("value.updated_at").alias("updated_at"), "offset")
+
+
+def q_stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates per sample from a ring of samples per group."""
+    from fleetspark.session import work_path
+    from fleetspark.sources.versioned import VersionedTable
+    from fleetspark.streaming.keyed_state import append_once, start, stream_rates
+
+    table, ckpt = VersionedTable(spark, work_path(spark, "rates-out")), work_path(spark, "rates-ckpt")
+
+    def run(stream: DataFrame) -> None:
+        rates = stream_rates(stream, ["produced", "consumed"], window_seconds=RATE_WINDOW_SECONDS)
+        start(rates, lambda batch, n: append_once(table, batch, n), ckpt).awaitTermination()
+
+    report = _lag(spark, sf_dir).withColumn("at", F.timestamp_seconds("t"))
+    _feed_in_chunks(spark, report, _chunk(report, "at"), "rates", run)
+    return _round(table.read(), ["produced_rate", "consumed_rate"])
+
+
+QUERIES["S8_stream_daily"] = q_stream_daily
+QUERIES["S8_stream_chart"] = q_stream_chart
+QUERIES["S10_stream_state"] = q_stream_state
+QUERIES["S12_stream_rates"] = q_stream_rates

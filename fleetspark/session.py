@@ -8,7 +8,7 @@ table with it. Only when it is unset (local runs, tests) do we pick one.
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -63,10 +63,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_owned: set[str] = set()
+
+
+def work_root(spark: SparkSession) -> str:
+    """The application's own folder for work tables; whatever is left in it goes when the application ends."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fleetspark-work/{spark.sparkContext.applicationId}"
+    if root not in _owned:
+        _owned.add(root)
+        atexit.register(_leave, spark, root)
+    return root
+
+
+def _leave(spark: SparkSession, root: str) -> None:
+    if not spark._jsc.sc().isStopped():
+        discard_path(spark, root)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for one written table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/fleetspark-work/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for one written table, below the application's own."""
+    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def discard_path(spark: SparkSession, path: str) -> None:
