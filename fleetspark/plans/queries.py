@@ -614,7 +614,7 @@ def q_stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run(stream: DataFrame) -> None:
         rates = stream_rates(stream, ["produced", "consumed"], window_seconds=RATE_WINDOW_SECONDS)
-        start(rates, lambda batch, n: append_once(table, batch, n), ckpt).awaitTermination()
+        start(rates, lambda batch, n: append_once(table, batch, n), ckpt, idle_batches=False).awaitTermination()
 
     report = _lag(spark, sf_dir).withColumn("at", F.timestamp_seconds("t"))
     _feed_in_chunks(spark, report, _chunk(report, "at"), "rates", run)

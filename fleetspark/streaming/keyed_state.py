@@ -35,27 +35,31 @@ from fleetspark.sources.versioned import Version, VersionedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB; the session's own setting comes back afterwards."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for queries started inside; the session's own come back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
 
+def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None, idle_batches: bool = True) -> StreamingQuery:
+    """Starts a stream that hands each micro-batch to ``write``; without ``interval`` it ends when what is there is done.
 
-def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Starts a stream that hands each micro-batch to ``write``; without ``interval`` it ends when what is there is done."""
+    Batches without new data let a watermark pass. State that ages by the clock
+    would ask for one after another, so such a stream does without them.
+    """
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    with rocksdb_state(df.sparkSession):
+    with settings(df.sparkSession, **{PROVIDER: ROCKSDB, IDLE: str(idle_batches).lower()}):
         return writer.start()
 
 
@@ -141,7 +145,7 @@ class ChangeLog:
         def write(batch: DataFrame, batch_id: int) -> None:
             append_once(self.log, batch, batch_id)
 
-        return start(changes(changelog, **options), write, checkpoint, interval)
+        return start(changes(changelog, **options), write, checkpoint, interval, idle_batches=False)
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         latest = rows.groupBy("key").agg(F.max_by(F.struct("value"), "offset").alias("latest"), F.max("offset").alias("offset"))
