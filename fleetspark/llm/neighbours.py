@@ -1,11 +1,14 @@
 """Approximate nearest neighbours by collision-counting hashing.
 
 Vectors are projected on a number of random directions, and each projection is
-kept as a sorted array. A query looks at the window around its own projection
-in each array; windows widen step by step (virtual rehashing), only what a step
-adds is counted, and a vector that stands in the windows of enough projections
-is verified by its exact inner product. The search ends once enough vectors are
-verified, or the nearest found lie well within what the windows cover.
+kept as a sorted array, cut into ``CELLS`` cells of equally many vectors. A query
+looks at the window around its own projection in each array; windows widen step
+by step (virtual rehashing) until enough vectors stand in the windows of enough
+projections. Only those are verified by their exact inner products. How far to
+widen is found on a sample of the shard, then all vectors' collisions are counted
+at that width in one pass over the cells, whole vectors of numbers at a time; if
+fewer pass the bar than the sample promised, the windows widen on, and if more
+do, the bar is raised.
 
 The largest inner product becomes the least distance by one more coordinate,
 which brings all vectors to the same length (and is 0 in queries).
@@ -27,17 +30,23 @@ from pyspark.sql import functions as F
 from fleetspark.llm.common import written
 
 
+#: Cells of a sorted array, and vectors whose cells are looked at together (they fit a processor's cache).
+CELLS, TILE = 256, 4096
+
+
 @dataclass(frozen=True)
 class Search:
-    """Projections, the share of windows a candidate must be in, first half-width and growth (of the vectors' common length); the search ends when 5 k vectors and the share ``verified`` of all have been verified."""
+    """Projections (255 at most), the share of windows a candidate must be in, first half-width and growth (of the vectors' common length); windows widen until ``least`` k vectors and the share ``verified`` of all pass."""
 
-    projections: int = 96
-    collisions: float = 0.5
-    first: float = 0.6
+    projections: int = 128
+    collisions: float = 0.85
+    first: float = 0.8
     growth: float = 1.15
-    verified: float = 0.2
+    verified: float = 0.07
+    least: int = 20
     shard: int = 16_384
-    block: int = 512
+    block: int = 2048
+    sample: int = 512
     seed: int = 17
 
 
@@ -46,62 +55,66 @@ class Shard:
 
     def __init__(self, vectors: np.ndarray, search: Search):
         self.search, self.vectors = search, vectors.astype("float64")
+        n, m = len(vectors), search.projections
         norms = (self.vectors**2).sum(axis=1)
         self.length = float(np.sqrt(norms.max()))
         extra = np.sqrt(np.maximum(norms.max() - norms, 0))
         rng = np.random.default_rng(search.seed)
-        self.directions = rng.standard_normal((search.projections, vectors.shape[1] + 1))
-        lifted = np.concatenate([self.vectors, extra[:, None]], axis=1)
-        projected = (lifted @ self.directions.T).T
-        self.order = np.argsort(projected, axis=1, kind="stable")
-        self.sorted = np.take_along_axis(projected, self.order, axis=1)
-
-    def windows(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The windows' half-widths by step, and where they begin and end (query, step, projection).
-
-        The last step takes in every projection.
-        """
-        s = self.search
+        self.directions = rng.standard_normal((m, vectors.shape[1] + 1))
+        projected = (np.concatenate([self.vectors, extra[:, None]], axis=1) @ self.directions.T).T
+        order = np.argsort(projected, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, axis=1)
+        cells = np.empty((m, n), "u1")
+        np.put_along_axis(cells, order, (np.arange(n) * CELLS // n).astype("u1")[None], axis=1)
+        self.tiles = [np.ascontiguousarray(cells[:, at : at + TILE]) for at in range(0, n, TILE)]
+        few = np.arange(0, n, max(1, n // search.sample))
+        self.sample = np.ascontiguousarray(cells[:, few])
+        self.bar = int(np.ceil(search.collisions * m))
+
+    def windows(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First cell and number of further cells of each window (query, step, projection); the last step takes in all cells."""
+        s, n = self.search, len(self.vectors)
         scale = self.length / np.sqrt((queries**2).sum(axis=1))
         at = self.directions[:, :-1] @ (queries * scale[:, None]).T
         far = max(float(np.abs(self.sorted).max() + np.abs(at).max()), s.first * self.length) * 1.01
         steps = int(np.ceil(np.log(far / (s.first * self.length)) / np.log(s.growth)))
         widths = s.first * self.length * s.growth ** np.arange(steps + 1)
-        ends = [np.searchsorted(row, (x[:, None] + sign * widths).ravel(), side).reshape(len(x), -1) for sign, side in ((-1, "left"), (1, "right")) for row, x in zip(self.sorted, at, strict=True)]
-        m = s.projections
-        return widths, np.stack(ends[:m], axis=2), np.stack(ends[m:], axis=2)
+        place = lambda sign, side: np.stack([np.searchsorted(row, (x[:, None] + sign * widths).ravel(), side).reshape(len(x), -1) for row, x in zip(self.sorted, at, strict=True)], axis=2)
+        low = np.minimum(place(-1, "left"), n - 1) * CELLS // n
+        high = np.maximum(place(1, "right") - 1, 0) * CELLS // n
+        return low.astype("u1"), np.maximum(high - low, 0).astype("u1")
+
+    @staticmethod
+    def _collisions(cells: np.ndarray, low: np.ndarray, more: np.ndarray) -> np.ndarray:
+        """In how many windows each vector stands; numbers below a window wrap round to large ones."""
+        inside = cells - low[:, None] <= more[:, None]
+        return np.add.reduce(inside.view("u1"), axis=0, dtype="u1")
 
     def nearest(self, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query the places and scores of at least ``k`` verified vectors (all, if fewer)."""
-        s, n = self.search, len(self.vectors)
-        widths, begin, end = self.windows(queries)
-        need = int(np.ceil(s.collisions * s.projections))
-        flat, row = self.order.ravel(), np.arange(s.projections) * n
-        for q, query in enumerate(queries):
-            scale = float(np.sqrt((query**2).sum()))
-            count, done = np.zeros(n, "int64"), np.zeros(n, bool)
-            places, scores, total = [], [], 0
-            for step, width in enumerate(widths):
-                lo, hi = begin[q, step] + row, end[q, step] + row
-                if step:
-                    old_lo, old_hi = begin[q, step - 1] + row, end[q, step - 1] + row
-                    new = [flat[a:b] for a, b in zip(np.concatenate([lo, old_hi]).tolist(), np.concatenate([old_lo, hi]).tolist(), strict=True)]
-                else:
-                    new = [flat[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-                count += np.bincount(np.concatenate(new), minlength=n)
-                fresh = np.flatnonzero((count >= need) & ~done)
-                if len(fresh):
-                    done[fresh] = True
-                    places.append(fresh)
-                    scores.append(self.vectors[fresh] @ query)
-                    total += len(fresh)
-                if total >= min(5 * k + s.verified * n, n):
-                    break
-                if total >= k:
-                    cosine = np.partition(np.concatenate(scores), total - k)[total - k] / (scale * self.length)
-                    if 2 * self.length * np.sqrt(max(2 - 2 * cosine, 0)) < width:
+        n, few = len(self.vectors), self.sample.shape[1]
+        wanted = min(max(self.search.least * k, int(np.ceil(self.search.verified * n))), n)
+        for at in range(0, len(queries), 64):
+            part = queries[at : at + 64]
+            low, more = self.windows(part)
+            for query, begin, width in zip(part, low, more, strict=True):
+                # The first step at which the sample promises enough vectors over the bar.
+                step, last = 0, len(begin) - 1
+                while step < last:
+                    half = (step + last) // 2
+                    passing = int((self._collisions(self.sample, begin[half], width[half]) >= self.bar).sum())
+                    step, last = (step, half) if passing * n >= wanted * few else (half + 1, last)
+                while True:
+                    count = np.concatenate([self._collisions(t, begin[step], width[step]) for t in self.tiles])
+                    passing = np.cumsum(np.bincount(count, minlength=self.search.projections + 1)[::-1])[::-1]
+                    # A sample may promise too much; then the windows widen on.
+                    if passing[self.bar] >= wanted or step == len(begin) - 1:
                         break
-            yield np.concatenate(places), np.concatenate(scores)
+                    step += 1
+                # Of the vectors over the bar only those with the most collisions are needed.
+                bar = max(self.bar, int(np.flatnonzero(passing >= wanted)[-1]))
+                found = np.flatnonzero(count >= bar)
+                yield found, self.vectors[found] @ query
 
 
 def _usable(vector: Column) -> Column:
@@ -123,7 +136,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, search
     """
     search = search or Search()
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("v")).filter(F.col("vec_id").isNotNull() & _usable(F.col("v")))
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    v = F.col(vector_col) if kind == "array<float>" else F.col(vector_col).cast("array<double>")
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), v.alias("v")).filter(F.col("vec_id").isNotNull() & _usable(F.col("v")))
     most = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     if not most:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
