@@ -13,11 +13,12 @@ least-hashed pair of words is the first or the last. That depends on nothing
 but the window's own words, so a window is taken wherever it stands, and two
 that follow each other start less than ``passage`` words apart: copies of 29
 words or more always share one (shorter ones, from 16 words, often). Each
-window has its own first occurrence; windows of one document that
-touch and repeat the same stretch of the same source become one passage, and
-only windows that stand earlier elsewhere are removed. A removed passage is
-then extended word by word as far as it agrees with its source, but not into
-one that stands first in its own document.
+window has its own first occurrence, and only windows that stand earlier
+elsewhere are removed. Removed windows of one document that touch become one
+passage, so a text that repeats itself word by word is one row; it is named after
+the document that most of its windows stand first in. At both ends it is extended
+word by word as far as it agrees with what the window there repeats, but not into
+a passage that stands first in its own document.
 
 Words are compared without regard to ASCII case.
 """
@@ -180,8 +181,8 @@ def _paragraph_texts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
 
 
-def _edges(reach: int):
-    """The spans (a, b) listed with each text: hash of their words, and hashes of the words before and after, nearest first."""
+def _edges(passage: int):
+    """The windows (a, side) listed with each text: hash of their words, and hashes of the words before (side 0) or after (1), nearest first."""
 
     def edges(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -189,13 +190,12 @@ def _edges(reach: int):
             for at, (text, wanted) in enumerate(zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("wanted").to_pylist(), strict=True)):
                 words = text.lower().split()
                 for x in wanted:
-                    a, b = x["a"], x["b"]
-                    near = [[xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in part] for part in (words[max(a - reach, 0) : a][::-1], words[b : b + reach])]
+                    a, b = x["at"], x["at"] + passage
+                    part = words[b : b + passage] if x["side"] else words[max(a - passage, 0) : a][::-1]
                     ids.append(at)
-                    out.append((a, b, xxhash.xxh3_64_intdigest(b" ".join(words[a:b])) - (1 << 63), *near))
-            a, b, core, left, right = zip(*out, strict=True) if out else ((),) * 5
-            words = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(ids, pa.int64())), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(core, pa.int64()), pa.array(left, words), pa.array(right, words)], ["doc_id", "a", "b", "core", "left", "right"])
+                    out.append((a, x["side"], xxhash.xxh3_64_intdigest(b" ".join(words[a:b])) - (1 << 63), [xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in part]))
+            a, side, core, near = zip(*out, strict=True) if out else ((),) * 4
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(ids, pa.int64())), pa.array(a, pa.int64()), pa.array(side, pa.int32()), pa.array(core, pa.int64()), pa.array(near, pa.list_(pa.int64()))], ["doc_id", "at", "side", "core", "near"])
 
     return edges
 
@@ -271,49 +271,44 @@ def _verify(similarity: float):
     return verify
 
 
-def _touching(spans: DataFrame) -> DataFrame:
-    """Spans of one document that touch and repeat the same source at the same distance, as one."""
-    of = ["doc_id", "removed", "first_id", "shift"]
-    by = Window.partitionBy(*of).orderBy("a", "b")
+def _runs(spans: DataFrame, **columns: Column) -> DataFrame:
+    """Spans of one document that touch, as one: doc_id, a, b and what ``columns`` say of them."""
+    by = Window.partitionBy("doc_id").orderBy("a", "b")
     spans = spans.withColumn("new", F.coalesce((F.col("a") > F.max("b").over(by.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1)))
     spans = spans.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    return spans.groupBy(*of, "run").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("run")
+    return spans.groupBy("doc_id", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"), *[c.alias(n) for n, c in columns.items()]).drop("run")
 
 
-def _extended(keyed: DataFrame, found: DataFrame, kind: str, reach: int) -> DataFrame:
-    """The passages with removed ones extended word by word, and each one's source as a first occurrence.
+def _extended(keyed: DataFrame, gone: DataFrame, kind: str, passage: int) -> DataFrame:
+    """Removed runs extended at both ends (doc_id, a, b, first_id), with the spans they repeat (sources: array of id, a, b).
 
-    ``reach`` words each way are enough: further on the copies share another window.
+    ``passage`` words each way are enough: further on the copies share another window.
     """
-    of = ["doc_id", "removed", "first_id", "shift"]
-    source = [F.col("first_id").alias("doc_id"), (F.col("a") + F.col("shift")).alias("a"), (F.col("b") + F.col("shift")).alias("b")]
-    copies = found.filter("removed")
-    wanted = copies.select("doc_id", "a", "b").unionByName(copies.select(*source)).distinct()
-    wanted = wanted.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("a", "b")).alias("wanted"))
-    edges = keyed.join(wanted, keyed.doc_id.eqNullSafe(wanted.of_id)).select("doc_id", "text", "wanted").mapInArrow(_edges(reach), f"doc_id {kind}, a bigint, b bigint, core bigint, left array<bigint>, right array<bigint>")
-    edges = edges.groupBy("doc_id", "a", "b").agg(F.min(F.struct("core", "left", "right")).alias("x"))  # ids may be repeated
-    edges = written(edges, "paragraph-edges")
-
-    # How far a passage may reach before it meets one that stands first in its document.
-    kept = lambda col: F.when(~F.col("removed"), F.col(col))
-    before = lambda *order: Window.partitionBy("doc_id").orderBy(*order, "removed").rowsBetween(Window.unboundedPreceding, -1)
-    roomy = found.withColumn("low", F.max(kept("b")).over(before("a"))).withColumn("high", F.min(kept("a")).over(before(F.desc("b")))).filter("removed")
-    here = edges.select(F.col("doc_id").alias("h_id"), F.col("a").alias("h_a"), F.col("b").alias("h_b"), F.col("x").alias("here"))
-    there = edges.select(F.col("doc_id").alias("t_id"), F.col("a").alias("t_a"), F.col("b").alias("t_b"), F.col("x").alias("there"))
-    both = roomy.join(here, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("a") == F.col("h_a")) & (F.col("b") == F.col("h_b")), "left")
-    both = both.join(there, F.col("first_id").eqNullSafe(F.col("t_id")) & (F.col("a") + F.col("shift") == F.col("t_a")) & (F.col("b") + F.col("shift") == F.col("t_b")), "left")
-
-    def agree(side: str) -> Column:
-        same = F.zip_with(F.col("here")[side], F.col("there")[side], lambda x, y: F.coalesce(x == y, F.lit(False)))
-        stop = F.array_position(same, False)
-        return F.when(F.col("here.core") == F.col("there.core"), F.when(stop > 0, stop - 1).otherwise(F.size(same))).otherwise(0)
-
-    left = F.greatest(F.least(agree("left"), F.coalesce(F.col("a") - F.col("low"), F.col("a"))), F.lit(0))
-    right = F.greatest(F.least(agree("right"), F.coalesce(F.col("high") - F.col("b"), F.lit(reach))), F.lit(0))
-    long = both.select(*of, (F.col("a") - left).alias("a"), (F.col("b") + right).alias("b"))
-    long = written(long, "paragraph-extended")
-    first = long.select(*source).distinct().select("doc_id", F.lit(False).alias("removed"), F.col("doc_id").alias("first_id"), F.lit(0).cast("bigint").alias("shift"), "a", "b")
-    return long.unionByName(first).unionByName(found.filter("not removed"))
+    end = lambda side, at, of: F.struct(F.lit(side).alias("side"), at.alias("at"), F.col(f"{of}.first_id").alias("source"), (at + F.col(f"{of}.shift")).alias("there"))
+    ends = gone.withColumn("end", F.explode(F.array(end(0, F.col("a"), "left"), end(1, F.col("b") - passage, "right")))).select("doc_id", "a", "b", "first_id", "low", "high", "end.*")
+    ends = written(ends, "paragraph-ends")
+    wanted = ends.select("doc_id", "at", "side").unionByName(ends.select(F.col("source").alias("doc_id"), F.col("there").alias("at"), "side")).distinct()
+    wanted = wanted.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("at", "side")).alias("wanted"))
+    edges = keyed.join(wanted, keyed.doc_id.eqNullSafe(wanted.of_id)).select("doc_id", "text", "wanted").mapInArrow(_edges(passage), f"doc_id {kind}, at bigint, side int, core bigint, near array<bigint>")
+    edges = written(edges.groupBy("doc_id", "at", "side").agg(F.min(F.struct("core", "near")).alias("x")), "paragraph-edges")  # ids may be repeated
+    release(keyed.sparkSession)
+
+    side_of = lambda name: edges.select(*[F.col(c).alias(f"{name}_{c}") for c in ("doc_id", "at", "side")], F.col("x").alias(name))
+    met = lambda doc, at, name: F.col(doc).eqNullSafe(F.col(f"{name}_doc_id")) & (F.col(at) == F.col(f"{name}_at")) & (F.col("side") == F.col(f"{name}_side"))
+    both = ends.join(side_of("h"), met("doc_id", "at", "h"), "left").join(side_of("t"), met("source", "there", "t"), "left")
+    same = F.zip_with(F.col("h.near"), F.col("t.near"), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    stop = F.array_position(same, False)
+    agree = F.when(F.col("h.core") == F.col("t.core"), F.when(stop > 0, stop - 1).otherwise(F.size(same))).otherwise(0)
+    room = F.when(F.col("side") == 0, F.coalesce(F.col("a") - F.col("low"), F.col("a"))).otherwise(F.coalesce(F.col("high") - F.col("b"), F.lit(passage)))
+    more = F.greatest(F.least(agree, room), F.lit(0)).cast("bigint")
+    # What an end repeats: its window and the words it was extended by.
+    span = F.struct(F.col("source").alias("id"), (F.col("there") - F.when(F.col("side") == 0, more).otherwise(0)).alias("a"), (F.col("there") + passage + F.when(F.col("side") == 1, more).otherwise(0)).alias("b"))
+    each = both.select("doc_id", "a", "b", "first_id", "side", more.alias("more"), span.alias("span"))
+    left, right = (F.max(F.when(F.col("side") == side, F.col("more"))) for side in (0, 1))
+    long = each.groupBy("doc_id", "a", "b").agg(F.first("first_id").alias("first_id"), left.alias("l"), right.alias("r"), F.collect_list("span").alias("sources"))
+    long = written(long.select("doc_id", (F.col("a") - F.col("l")).alias("a"), (F.col("b") + F.col("r")).alias("b"), "first_id", "sources"), "paragraph-extended")
+    discard(ends, edges)
+    return long
 
 
 def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage: int = PASSAGE, id_col: str = "doc_id", text_col: str = "text", paragraph: int = LONG) -> DataFrame:
@@ -351,6 +346,7 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage
     release(spark)
     compared = shared.join(sets, "key").repartition("bucket").sortWithinPartitions("bucket", "key")
     links = written(compared.select("bucket", "key", "shingles").mapInArrow(_verify(similarity), "a bigint, b bigint"), "paragraph-links")
+    discard(shared, sets)
     roots = components(links)
 
     # Classes of paragraphs and their first occurrences.
@@ -358,18 +354,36 @@ def repeated_paragraphs(docs: DataFrame, similarity: float = SIMILARITY, passage
     rows = paragraphs.select("doc_id", "a", "b", "key").join(roots.withColumnRenamed("node", "key"), "key", "left")
     rows = rows.select("doc_id", "a", "b", F.coalesce("root", "key").alias("class"))
     first = rows.groupBy("class").agg(F.min(order).alias("first"), F.count("*").alias("n_same")).filter("n_same > 1")
+    first = written(first, "paragraph-firsts")  # a plain table: a join with it splits the rows of a hot class
     rows = rows.join(first, "class").select("doc_id", F.lit("paragraph").alias("kind"), "a", "b", F.col("first.doc_id").alias("first_id"), (order != F.col("first")).alias("removed"), "n_same")
     rows = written(rows, "paragraph-classes")
+    discard(first, links)
     release(spark)
 
-    # Passages: windows that repeat one stretch of one source.
-    least = windows.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Passages: windows that stand earlier elsewhere, and those that stand first.
+    least = written(windows.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "paragraph-least")
     same = windows.join(least, "key").select("doc_id", "a", "b", F.col("first.doc_id").alias("first_id"), (F.col("first.a") - F.col("a")).alias("shift"), (order != F.col("first")).alias("removed"))
-    found = written(_touching(same), "paragraph-windows")
-    discard(units, shared, sets, links)
+    same = written(same, "paragraph-windows")
+    discard(units, least)
     release(spark)
-    found = _touching(_extended(keyed, found, kind, passage)).select("doc_id", F.lit("passage").alias("kind"), "a", "b", "first_id", "removed", F.lit(None).cast("bigint").alias("n_same"))
-    found = written(found, "paragraph-passages")
+    source = F.struct("first_id", "shift")
+    gone = _runs(same.filter("removed"), first_id=F.mode("first_id", True), left=F.min_by(source, F.struct("a", "b")), right=F.max_by(source, F.struct("b", "a")))
+    kept = _runs(same.filter("not removed"))
+    # How far a run may reach before it meets one that stands first in its document.
+    all_runs = gone.withColumn("stays", F.lit(False)).unionByName(kept.withColumn("stays", F.lit(True)), allowMissingColumns=True)
+    stays = lambda c: F.when(F.col("stays"), F.col(c))
+    before = lambda *by: Window.partitionBy("doc_id").orderBy(*by, F.desc("stays")).rowsBetween(Window.unboundedPreceding, -1)
+    roomy = all_runs.withColumn("low", F.max(stays("b")).over(before("a"))).withColumn("high", F.min(stays("a")).over(before(F.desc("b"))))
+    found = written(roomy, "paragraph-runs")
+    discard(same)
     release(spark)
-    out = rows.unionByName(found)
+    long = _extended(keyed, found.filter("not stays"), kind, passage)
+    gone = _runs(long, first_id=F.mode("first_id", True)).withColumn("removed", F.lit(True))
+    firsts = long.select(F.explode("sources").alias("s")).select(F.col("s.id").alias("doc_id"), "s.a", "s.b").distinct().unionByName(found.filter("stays").select("doc_id", "a", "b"))
+    kept = _runs(firsts).select("*", F.col("doc_id").alias("first_id"), F.lit(False).alias("removed"))
+    passages = gone.unionByName(kept).select("doc_id", F.lit("passage").alias("kind"), "a", "b", "first_id", "removed", F.lit(None).cast("bigint").alias("n_same"))
+    passages = written(passages, "paragraph-passages")
+    discard(found, long)
+    release(spark)
+    out = rows.unionByName(passages)
     return out.select(F.col("doc_id").alias(id_col), "kind", F.col("a").alias("first_word"), F.col("b").alias("end_word"), "first_id", "removed", "n_same")

@@ -167,3 +167,15 @@ def test_short_paragraphs(spark, tmp_path):
     exact = {d: x for d, x in want.items() if x[1] - x[0] < 13}
     assert {d: found.get(d) for d in exact} == exact
     assert all(x[:2] == want[d][:2] and (x[4] < 3 or x == want[d]) for d, x in found.items())
+
+
+def test_self_repeating_text_is_one_row(spark):
+    """A text of one word, or of a short cycle of words, is one removed run; of twins the later one goes whole."""
+    rng = random.Random(4)
+    cycle = " ".join(f"c{rng.randrange(1000)}" for _ in range(7))
+    texts = ["for " * 3000, " ".join([cycle] * 400), " ".join(["a b", cycle] * 200), " ".join([cycle] * 400) + " tail"]
+    got = [r for r in repeated_paragraphs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect() if r.kind == "passage"]
+    gone = {d: [(r.first_word, r.end_word) for r in got if r.doc_id == d and r.removed] for d in range(4)}
+    assert all(len(x) <= 2 for x in gone.values()) and len(got) <= 12
+    assert gone[0] == [(1, 3000)] and gone[1][0][0] < 7 + 16 and gone[1][0][1] == 2800
+    assert gone[3][0][1] == 2800 and gone[3][0][0] == 0
