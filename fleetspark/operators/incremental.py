@@ -5,6 +5,7 @@
   partition the target has not seen. The watermark table has one row per
   Kafka partition of the topic; it is broadcast only after its row count is
   checked against ``BROADCAST_MAX_ROWS``, else it is an ordinary join.
+* ``footer_watermarks`` (D6): the same from the statistics in the files' footers.
 * ``merge_upsert`` (C3, I2): update-all on key match, insert otherwise. The
   key must determine the partition column (an event's date never changes),
   so only partitions present in the source are read and rewritten, with
@@ -21,11 +22,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from fleetspark.session import discard_path, work_path
+from fleetspark.session import discard_path, materialize, settings, work_path
+from fleetspark.sources.versioned import COMMIT, Version, VersionedTable
 
 # A watermark table larger than this is joined, not broadcast.
 BROADCAST_MAX_ROWS = 100_000
@@ -56,16 +59,58 @@ def high_watermarks(target: DataFrame, partition_col: str = "kafka_partition", o
     return target.groupBy(partition_col).agg(F.max(offset_col).alias("max_kafka_offset"))
 
 
+#: Sources that Spark reads in its older way; Parquet is not among them when its footers are to answer.
+V1_SOURCES = "avro,csv,json,kafka,orc,text"
+
+
+def footer_maxima(table: VersionedTable, version: Version, offset_col: str) -> DataFrame:
+    """Greatest offset per folder of partitions; planned under the settings of ``footer_watermarks`` it reads footers only."""
+    files = [f"{table.path}/{e.path}" for e in version.entries]
+    rows = table.spark.read.option("basePath", table.path).parquet(*files)
+    return rows.groupBy(COMMIT, *version.partition_by).agg(F.max(offset_col).alias("max_kafka_offset"))
+
+
+def footer_watermarks(table: VersionedTable, partition_col: str = "kafka_partition", offset_col: str = "kafka_offset") -> DataFrame:
+    """``high_watermarks`` of a versioned table partitioned by ``partition_col`` (and others), without reading a row.
+
+    The greatest offsets come from the statistics in the files' footers: the
+    aggregate is pushed into the Parquet scan. One row per Kafka partition comes
+    to the driver, of which a topic has thousands at most.
+    """
+    version = table.version()
+    schema = "partition string, max_kafka_offset bigint"
+    if version is None or not version.entries:
+        return table.spark.createDataFrame([], schema).select(F.col("partition").alias(partition_col), "max_kafka_offset")
+    if partition_col not in version.partition_by:
+        raise ValueError(f"{table.path} is not partitioned by {partition_col}")
+    try:
+        with settings(table.spark, **{"spark.sql.sources.useV1SourceList": V1_SOURCES, "spark.sql.parquet.aggregatePushdown": "true"}):
+            found = footer_maxima(table, version, offset_col).groupBy(partition_col).agg(F.max("max_kafka_offset").alias("max_kafka_offset")).collect()
+    except Py4JJavaError as e:
+        # A footer without statistics (a file whose offsets are all NULL) cannot answer: then the column is read.
+        if "No min/max found" not in str(e):
+            raise
+        return high_watermarks(table.read(), partition_col, offset_col)
+    kind = version.schema[partition_col].dataType.simpleString()
+    rows = [(None if r[0] is None else str(r[0]), r[1]) for r in found]
+    return table.spark.createDataFrame(rows, schema).select(F.col("partition").cast(kind).alias(partition_col), "max_kafka_offset")
+
+
 def new_since(
     readings: DataFrame,
     target: DataFrame | None,
     partition_col: str = "kafka_partition",
     offset_col: str = "kafka_offset",
+    watermarks: DataFrame | None = None,
 ) -> DataFrame:
-    """Readings not yet loaded: offset above the target's max for its partition, or an unseen partition."""
-    if target is None:
+    """Readings not yet loaded: offset above the target's max for its partition, or an unseen partition.
+
+    ``watermarks`` saves the scan of the target, see ``footer_watermarks``.
+    """
+    if target is None and watermarks is None:
         return readings
-    wm = high_watermarks(target, partition_col, offset_col).cache()
+    wm = high_watermarks(target, partition_col, offset_col) if watermarks is None else watermarks
+    wm = materialize(wm)
     side = F.broadcast(wm) if wm.count() <= BROADCAST_MAX_ROWS else wm
     joined = readings.join(side, on=partition_col, how="left")
     keep = F.col("max_kafka_offset").isNull() | (F.col(offset_col) > F.col("max_kafka_offset"))

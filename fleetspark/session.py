@@ -11,6 +11,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +50,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for what is planned or started inside; the session's own come back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's setting, else a local one for tests."""
     sc = spark.sparkContext

@@ -19,7 +19,6 @@ State lives in RocksDB, so it is bounded by disk, not by an executor's memory.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -31,6 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from fleetspark.operators.marts import min_tire_pressure
+from fleetspark.session import settings
 from fleetspark.sources.versioned import Version, VersionedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -38,19 +38,6 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-@contextmanager
-def settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Session settings for queries started inside; the session's own come back afterwards."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None, idle_batches: bool = True) -> StreamingQuery:
     """Starts a stream that hands each micro-batch to ``write``; without ``interval`` it ends when what is there is done.
 

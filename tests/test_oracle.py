@@ -3,8 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
-from fleetspark.plans.oracle import ORACLE as LIBRARY_ORACLE
-from fleetspark.plans.queries import QUERIES as LIBRARY
+from __spark_entry__ import ORACLE as LIBRARY_ORACLE
+from __spark_entry__ import QUERIES as LIBRARY
 from oracle_compare import compare, duck_connection
 from table_dirs import SF_ORACLE, SF_SMALL
 
