@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import WORD_RUN, text_or_empty, where_computed, words_of, written
+from fleetspark.llm.common import WORD_RUN, discard, text_or_empty, where_computed, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 SYMBOL_RUN = r"[#*$%&|<>]{2,}"
@@ -235,8 +235,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns.
 
-    The votes are counted in one pass and computed again in the pass that
-    filters, which costs processor time but moves no text between executors.
+    The statistics are computed once: rows that pass the base rules are written
+    with their votes, the votes are counted, and the rows read back are filtered.
     Defined cases are those of ``quality_rules``: null, empty and wordless texts
     fail the base rules and go, repeated rows stay or go together.
     """
@@ -246,7 +246,8 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] =
     stats = with_stats(renamed, names[kept.index(text_col)], tuple(names))
     columns = [f"v{j}" for j in range(len(rules))]
     voted = stats.select(*names, base_failed().alias("base_failed"), *_votes(rules))
-    counts = voted.groupBy(*columns).agg(F.sum(F.when(~F.col("base_failed"), 1)).alias("n")).filter("n > 0")
-    patterns = written(counts.coalesce(1), "quality-patterns")
+    good = written(where_computed(voted, ~F.col("base_failed")).drop("base_failed"), "quality-good")
+    patterns = written(good.groupBy(*columns).agg(F.count("*").alias("n")).coalesce(1), "quality-patterns")
     posterior = fit(patterns, len(rules)).posterior([F.col(c) for c in columns])
-    return where_computed(voted, ~F.col("base_failed") & (F.round(posterior, 9) >= threshold)).select(*names).toDF(*kept)
+    discard(patterns)
+    return good.filter(F.round(posterior, 9) >= threshold).select(*names).toDF(*kept)

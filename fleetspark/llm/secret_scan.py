@@ -13,6 +13,7 @@ Everything runs row by row in built-in functions; no row leaves its place.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
@@ -74,6 +75,46 @@ def _no_spans() -> Column:
     return F.array().cast(SPAN)
 
 
+#: Matches located together, and the length from which a text is located by blocks of so many.
+BLOCK, LONG_TEXT = 256, 20_000
+FOUND = "array<struct<s:int,m:string>>"
+
+
+def _places(parts: Column, first: Column) -> Column:
+    """Where each of some matches (g: gap before it, m: its text) starts, from the place where the first gap does."""
+    return F.aggregate(
+        parts,
+        F.struct(first.cast("int").alias("at"), F.array().cast(FOUND).alias("out")),
+        lambda a, x: F.struct(
+            (a["at"] + x["g"] + F.length(x["m"])).alias("at"),
+            F.concat(a["out"], F.array(F.struct((a["at"] + x["g"]).alias("s"), x["m"].alias("m")))).alias("out"),
+        ),
+        lambda a: a["out"],
+    )
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value, which is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _places_by_block(parts: Column) -> Column:
+    """``_places`` from the text's start, block by block: adding to an array copies it, and there may be very many matches."""
+
+    def located(blocks: Column) -> Column:
+        widths = F.transform(blocks, lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x["g"] + F.length(x["m"])))
+        ahead = F.aggregate(
+            widths,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda a, w: F.struct((a["at"] + w).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+            lambda a: a["out"],
+        )
+        return F.flatten(F.zip_with(blocks, ahead, _places))
+
+    starts = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int"))
+    return _with(F.transform(starts, lambda b: F.slice(parts, b * BLOCK + 1, BLOCK)), located)
+
+
 def _located(text: Column, pattern: str) -> Column:
     """Matches of a pattern, leftmost and not overlapping: array of (s, m), by start.
 
@@ -82,17 +123,10 @@ def _located(text: Column, pattern: str) -> Column:
     """
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,m:string>>").alias("out"))
-    found = F.aggregate(
-        F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("g"), m.alias("m"))),
-        zero,
-        lambda a, x: F.struct(
-            (a["at"] + x["g"] + F.length(x["m"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct((a["at"] + x["g"]).alias("s"), x["m"].alias("m")))).alias("out"),
-        ),
-        lambda a: a["out"],
-    )
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<s:int,m:string>>"))
+    # One gap more than matches: the last is the text's end.
+    parts = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
+    found = F.when(F.length(text) < LONG_TEXT, _places(parts, F.lit(0))).otherwise(_with(parts, _places_by_block))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(FOUND))
 
 
 def base_spans(text: Column) -> Column:

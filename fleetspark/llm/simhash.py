@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import release, written
+from fleetspark.llm.common import release, text_or_empty, written
 from fleetspark.llm.graph import components
 
 SHINGLE = 4
@@ -210,11 +210,19 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MOS
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row with the smallest id, with all its columns.
+    """The rows of ``docs`` without near copies: of each component one row, with all its columns.
 
-    Of repeated rows of that id one stays; rows without an id cannot be named and stay.
+    It is the row with the smallest id; rows of one id are told apart by their
+    texts, rows without an id come last, and of rows with equal ids and texts one
+    stays. So no component is lost and none keeps two rows, whatever the ids.
     """
-    groups = simhash_groups(docs, shingle, most_bits, id_col, text_col)
-    first = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col)).distinct()
-    kept = docs.join(written(first, "simhash-kept"), id_col, "left_semi").select(*docs.columns)
-    return kept.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+    text = text_or_empty(text_col)
+    row = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
+    groups = simhash_groups(docs.select(row.alias("row"), text.alias("text")), shingle, most_bits, "row", "text")
+    first = written(groups.filter(F.col("row").eqNullSafe(F.col("component_id"))).select("row.*").distinct(), "simhash-kept")
+    same = docs[id_col].eqNullSafe(first["id"]) & (F.xxhash64(text_or_empty(text_col)) == first["h"])
+    kept = docs.join(first, same, "left_semi")
+    # Repeated rows fall together before they are shuffled.
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    one = kept.groupBy(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h")).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("_row"))
+    return one.select("_row.*")

@@ -42,6 +42,8 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
+        if len(ids) and int(ids.max()) >> bits:
+            raise ValueError(f"id {int(ids.max())} needs more than {bits} bits")
         now, zeros, planes = ids.astype("uint32" if bits > 16 else "uint16"), [], []
         for level in range(bits - 1, -1, -1):
             ones = (now >> level & 1).astype(bool)

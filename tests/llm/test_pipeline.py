@@ -71,6 +71,6 @@ def test_run(spark):
     import __spark_entry__
 
     found = __spark_entry__.queries()
-    assert sorted(x for x in found if x.startswith("op")) == sorted(f"op{n}_{x}" for n, x in ((1, "ordinal_quality"), (2, "paragraph_dedup"), (3, "secret_scan"), (4, "mix_sources"), (5, "suffix_dedup"), (6, "collision_neighbours"), (7, "simhash_dedup"), (8, "wavelet_tokens"), (9, "quality_rules"), (10, "packing")))
+    assert sorted(x for x in found if x.startswith("op")) == sorted(f"op{n}_{x}" for n, x in ((1, "ordinal_quality"), (2, "paragraph_dedup"), (3, "secret_scan"), (4, "mix_sources"), (5, "suffix_dedup"), (6, "collision_neighbours"), (7, "simhash_dedup"), (8, "wavelet_tokens"), (9, "quality_rules"), (10, "packing"), (11, "centroid_clusters"), (12, "phrase_decontamination"), (13, "vector_codes")))
     out = found["pipeline"](spark, DIR)
     assert out.count() > 0 and {"doc_id", "sequence_id", "ids"} <= set(out.columns)

@@ -163,3 +163,12 @@ def test_mix_query_matches_sql(spark):
 
     r = compare(spark, "/root/testdata/sf0.01", "op4_mix_sources", queries.op4_mix_sources, queries.ORACLE["op4_mix_sources"])
     assert r["columns_match"] and r["spark_rows"] == r["oracle_rows"] and r["values_match"], r
+
+
+def test_very_many_secrets_in_one_text(spark):
+    """A text of 30,000 keys is located by blocks; offsets equal the regular expression's."""
+    keys = [f"AKIA{n:016d}" if n % 3 else f"token={n:06d}é" for n in range(30_000)]
+    text = "é ".join(keys)
+    df = spark.createDataFrame([(1, text), (2, None), (3, "x " * 200_000)], "doc_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r.base] for r in secret_scan.secret_scan(df).collect()}
+    assert got == {1: base_spans(text), 2: [], 3: []} and len(got[1]) > 19_000
