@@ -89,3 +89,77 @@ def test_odd_documents(spark, odd, none):
     empty = train(odd, labels.limit(0), 3)
     assert {round(r.expected_grade, 6) for r in grade_documents(odd, empty).collect()} == {1.0}
     assert grade_documents(none, model).count() == 0
+
+
+def test_fit_follows_the_plain_gradient():
+    """The first steps of the fit equal Adam on finite differences of the stated likelihood, written out row by row."""
+    from fleetspark.llm.ordinal import BUCKETS, FORM
+
+    rng = np.random.default_rng(5)
+    x = rng.uniform(-1, 1, (40, 2))
+    grades = np.digitize(x[:, 0] + rng.normal(0, 0.3, 40), [-0.4, 0.3])
+    rows = [(np.array([3, 9]), v) for v in x]
+    size = np.bincount(grades, minlength=3)
+    weight = [float(np.sqrt(40 / size[g] / 3)) / 40 for g in grades]
+
+    def loss(z):
+        w, cuts = z[:2], [z[2], z[2] + np.exp(z[3])]
+        total = 2e-4 / 2 * (w[0] ** 2 + w[1] ** 2)
+        for v, g, m in zip(x, grades, weight, strict=True):
+            above = [1.0, *[1 / (1 + np.exp(-(float(v @ w) - c))) for c in cuts], 0.0]
+            total -= m * np.log(above[g] - above[g + 1])
+        return total
+
+    z, a, b = np.array([0.0, 0.0, -1.0, 0.5]), np.zeros(4), np.zeros(4)
+    for step in range(1, 16):
+        g = np.array([(loss(z + e) - loss(z - e)) / 2e-6 for e in np.eye(4) * 1e-6])
+        a, b = 0.9 * a + 0.1 * g, 0.999 * b + 0.001 * g**2
+        z = z - 0.1 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-10)
+    model = fit_ordinal(rows, grades, 3, rounds=15)
+    assert np.allclose(model.weights[[3, 9]], z[:2], atol=1e-4) and np.count_nonzero(model.weights) == 2 and len(model.weights) == BUCKETS + FORM
+    assert np.allclose(model.thresholds, [z[2], z[2] + np.exp(z[3])], atol=1e-4)
+
+
+def test_scores_equal_plain_sums(spark, odd):
+    from fleetspark.llm.ordinal import features
+
+    labels = spark.createDataFrame([(i, i % 3) for i in range(1, 18)], "doc_id long, grade int")
+    model = train(odd, labels, 3)
+    want = []
+    for r in odd.select("doc_id", "text").collect():
+        buckets, values = features((r.text or "").encode())
+        score = sum(float(np.float32(model.weights[b])) * float(v) for b, v in zip(buckets, values, strict=True)) if len(buckets) > 1 else 0.0
+        above = [1 / (1 + np.exp(-(score - c))) for c in model.thresholds]
+        want.append((str(r.doc_id), sum(above), above[-1]))
+    got = sorted((str(r.doc_id), r.expected_grade, r.tail_probability) for r in grade_documents(odd, model).collect())
+    for g, w in zip(got, sorted(want), strict=True):
+        assert g[0] == w[0] and abs(g[1] - w[1]) < 1e-4 and abs(g[2] - w[2]) < 1e-4
+
+
+def test_label_model_equals_plain_em(spark):
+    """Expectation-maximisation written out with loops, on random counted patterns."""
+    from fleetspark.llm.quality_rules import fit
+
+    rng = np.random.default_rng(8)
+    votes = [tuple(int(v) for v in rng.integers(-1, 2, 4)) for _ in range(30)]
+    patterns = [(*v, int(n)) for v, n in zip(dict.fromkeys(votes), rng.integers(1, 400, len(set(votes))), strict=True)]
+    prior, p, q = 0.8, [0.95] * 4, [0.6] * 4
+    bound = lambda x, lo, hi: max(lo, min(hi, x))
+    for _ in range(25):
+        good = []
+        for *v, n in patterns:
+            logit = np.log(prior / (1 - prior)) + sum(np.log(p[j] / (1 - q[j])) if x == 1 else np.log((1 - p[j]) / q[j]) if x == -1 else 0 for j, x in enumerate(v))
+            good.append(n / (1 + np.exp(-logit)))
+        bad = [x[-1] - g for x, g in zip(patterns, good, strict=True)]
+        prior = bound((sum(good) + 0.8 * 50) / (sum(x[-1] for x in patterns) + 50), 0.05, 0.95)
+        for j in range(4):
+            of = lambda xs, vs: sum(x for x, v in zip(xs, patterns, strict=True) if v[j] in vs)
+            p[j] = bound((of(good, (1,)) + 0.95 * 50) / (of(good, (1, -1)) + 50), 0.55, 0.99)
+            q[j] = bound((of(bad, (-1,)) + 0.6 * 50) / (of(bad, (1, -1)) + 50), 0.05, 0.99)
+    df = spark.createDataFrame(patterns, "v0 int, v1 int, v2 int, v3 int, n long")
+    model = fit(df, 4)
+    assert np.allclose([model.prior, *model.right_good, *model.right_bad], [prior, *p, *q], atol=1e-9)
+    columns = [F.col(f"v{j}") for j in range(4)]
+    for r in df.withColumn("x", model.posterior(columns)).collect():
+        logit = np.log(prior / (1 - prior)) + sum(np.log(p[j] / (1 - q[j])) if r[j] == 1 else np.log((1 - p[j]) / q[j]) if r[j] == -1 else 0 for j in range(4))
+        assert abs(r.x - 1 / (1 + np.exp(-logit))) < 1e-9

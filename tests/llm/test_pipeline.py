@@ -74,3 +74,22 @@ def test_run(spark):
     assert sorted(x for x in found if x.startswith("op")) == sorted(f"op{n}_{x}" for n, x in ((1, "ordinal_quality"), (2, "paragraph_dedup"), (3, "secret_scan"), (4, "mix_sources"), (5, "suffix_dedup"), (6, "collision_neighbours"), (7, "simhash_dedup"), (8, "wavelet_tokens"), (9, "quality_rules"), (10, "packing"), (11, "centroid_clusters"), (12, "phrase_decontamination"), (13, "vector_codes")))
     out = found["pipeline"](spark, DIR)
     assert out.count() > 0 and {"doc_id", "sequence_id", "ids"} <= set(out.columns)
+
+
+def test_run_on_odd_and_empty_tables(spark, odd, none, tmp_path):
+    """Nulls, copies, repeated rows, missing ids and a text of 5 MB pass through all stages; an empty table gives no rows."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    long = " ".join(f"word{n % 9973}" for n in range(550_000))
+    rows = odd.select(*columns).unionByName(spark.createDataFrame([(900, long, "en", "web", len(long))], odd.select(*columns).schema))
+    rows.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    none.select(*columns).write.parquet(f"{tmp_path}/none/documents.parquet")
+    pieces = corpus_pipeline.run(spark, f"{tmp_path}/odd").select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset").collect()
+    good = {r.doc_id for r in quality_rules(rows).filter("kept").collect()}
+    assert len(long) > 4_500_000 and {p.doc_id for p in pieces} <= good
+    assert not {p.doc_id for p in pieces} & {4, 5, 6, 7} and (900 in good) == any(p.doc_id == 900 for p in pieces)
+    ends = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == ends.get(p.sequence_id, 0) and p.length > 0
+        ends[p.sequence_id] = p.offset + p.length
+    assert all(n <= 1024 for n in ends.values())
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0

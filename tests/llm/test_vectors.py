@@ -85,7 +85,7 @@ def same(got, want):
 def test_clusters_equal_brute_force(spark):
     want = clusters(odd())
     same(rows_of(C.cluster_vectors(frame(spark, odd()))), want)
-    assert {w[1] for w in want} > {0, 1}
+    assert len({w[1] for w in want}) > 2
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None, 1)], vectors(3), [(i, [0.5] * 64, 1) for i in range(20)], [(i, [(-1.0) ** i] * 64, None) for i in range(30)]])
