@@ -18,13 +18,14 @@ State lives in RocksDB, so it is bounded by disk, not by an executor's memory.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -167,15 +168,37 @@ class ChangeLog:
 # -- distance and facts over event time (S8, S9) --------------------------
 
 STEP_INPUTS = ("vehicle_id", "recorded_at", "message_id", "odometer_km")
-RECENT = "times binary, ids binary, odometers binary"
+RECENT = "times binary, ids binary, odometers binary, vehicles binary, vehicle_ids binary"
+#: Vehicles are dealt over so many groups; a checkpoint keeps the number it began with.
+BUCKETS = 512
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """The group of a key: many keys share a call of a stateful function, its state and its output batch."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def _rule(step: np.ndarray, lower: float, upper: float) -> np.ndarray:
     return np.where((step >= lower) & (step <= upper), step, 0.0)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return json.dumps(values.tolist()).encode()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    values = json.loads(bytes(data))
+    out = np.empty(len(values), object)
+    out[:] = values
+    return out
+
+
 class _Steps(StatefulProcessor):
-    """Distance of each reading to the one before it by (time, id), and corrections of distances already given."""
+    """Distance of each reading to its vehicle's one before it by (time, id), and corrections of distances already given.
+
+    A group is a bucket of vehicles. Its state is the recent readings of all of
+    them, ordered by vehicle, time and id.
+    """
 
     def __init__(self, names: list[str], lower: float, upper: float):
         self.names, self.lower, self.upper = names, lower, upper
@@ -183,46 +206,52 @@ class _Steps(StatefulProcessor):
     def init(self, handle) -> None:
         self.recent = handle.getValueState("recent", RECENT)
 
-    def _before(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not self.recent.exists():
-            return np.zeros(0, "int64"), np.zeros(0, object), np.zeros(0)
-        times, ids, odometers = self.recent.get()
-        return np.frombuffer(times, "int64"), np.array(bytes(ids).decode().split("\x00"), object), np.frombuffer(odometers, "float64")
+    def _before(self) -> tuple[np.ndarray, ...]:
+        held = self.recent.get()
+        if held is None:
+            return np.zeros(0, object), np.zeros(0, "int64"), np.zeros(0, object), np.zeros(0)
+        times, ids, odometers, vehicles, vehicle_ids = held
+        return _unpacked(vehicle_ids)[np.frombuffer(vehicles, "int32")], np.frombuffer(times, "int64"), _unpacked(ids), np.frombuffer(odometers, "float64")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
-        old_t, old_i, old_o = self._before()
+        old_v, old_t, old_i, old_o = self._before()
         new_t = new["recorded_at"].astype("datetime64[us]").astype("int64").to_numpy()
-        new_i, new_o = new["message_id"].astype(object).to_numpy(), new["odometer_km"].astype("float64").to_numpy()
+        new_v, new_i, new_o = new["vehicle_id"].astype(object).to_numpy(), new["message_id"].astype(object).to_numpy(), new["odometer_km"].astype("float64").to_numpy()
         t, i, o = np.concatenate([old_t, new_t]), np.concatenate([old_i, new_i]), np.concatenate([old_o, new_o])
+        v, vehicle_ids = pd.factorize(np.concatenate([old_v, new_v]), use_na_sentinel=False)
         place = np.concatenate([np.full(len(old_t), -1), np.arange(len(new_t))])
-        order = sorted(range(len(t)), key=lambda x: (t[x], i[x]))
-        t, i, o, place = t[order], i[order], o[order], place[order]
-        previous = np.concatenate([[np.nan], o[:-1]])
+        order = pd.DataFrame({"v": v, "t": t, "i": i}).sort_values(["v", "t", "i"], kind="mergesort").index.to_numpy()
+        v, t, i, o, place = v[order], t[order], i[order], o[order], place[order]
+        first = np.concatenate([[True], v[1:] != v[:-1]])
+        previous = np.where(first, np.nan, np.concatenate([[np.nan], o[:-1]]))
         step = _rule(o - previous, self.lower, self.upper)
         fresh = place >= 0
         out = new.iloc[place[fresh]].assign(previous_odometer_km=previous[fresh], distance_km=step[fresh], is_reading=1)
+        columns = [*self.names, "previous_odometer_km", "distance_km", "is_reading"]
+        # Nothing older than the watermark can still come: of that only each vehicle's newest reading is needed.
+        passed = t < timerValues.getCurrentWatermarkInMs() * 1000
+        keep = ~(passed & np.concatenate([passed[1:] & ~first[1:], [False]]))
+        codes, known = pd.factorize(v[keep])
+        self.recent.update((t[keep].tobytes(), _packed(i[keep]), o[keep].tobytes(), codes.astype("int32").tobytes(), _packed(vehicle_ids[known])))
+        yield out[columns]
         # Readings given before whose reading before is now another one.
-        was = np.full(len(t), np.nan)
-        was[~fresh] = np.concatenate([[np.nan], old_o[:-1]]) if len(old_o) else []
-        moved = ~fresh & np.concatenate([[False], fresh[:-1]])
-        if moved.any():
-            change = step - _rule(o - was, self.lower, self.upper)
-            at = np.flatnonzero(moved)
+        at = np.flatnonzero(~fresh & ~first & np.concatenate([[False], fresh[:-1]]))
+        if len(at):
+            # Their reading before was the last one held before the new ones in between; none if those came first.
+            held = np.where(fresh, -1, np.arange(len(t)))
+            last = np.concatenate([[-1], np.maximum.accumulate(held)[:-1]])[at]
+            was = np.where((last >= 0) & (v[last] == v[at]), o[last], np.nan)
+            change = step[at] - _rule(o[at] - was, self.lower, self.upper)
             blank = pd.DataFrame({n: pd.Series([None] * len(at), dtype=object) for n in self.names})
-            fix = blank.assign(vehicle_id=key[0], recorded_at=pd.to_datetime(t[at], unit="us"), message_id=i[at], odometer_km=o[at], previous_odometer_km=previous[at], distance_km=change[at], is_reading=0)
-            out = pd.concat([out.astype(object), fix.astype(object)], ignore_index=True)
-        # Nothing older than the watermark can still come: of that only the newest reading is needed.
-        passed = int(np.searchsorted(t, timerValues.getCurrentWatermarkInMs() * 1000, "left"))
-        keep = slice(max(0, passed - 1), None)
-        self.recent.update((t[keep].tobytes(), "\x00".join(i[keep]).encode(), o[keep].tobytes()))
-        yield out[[*self.names, "previous_odometer_km", "distance_km", "is_reading"]]
+            fix = blank.assign(vehicle_id=vehicle_ids[v[at]], recorded_at=pd.to_datetime(t[at], unit="us"), message_id=i[at], odometer_km=o[at], previous_odometer_km=previous[at], distance_km=change, is_reading=0)
+            yield fix[columns]
 
     def close(self) -> None:
         pass
 
 
-def stream_steps(readings: DataFrame, delay: str = "1 day", lower: float = 0, upper: float = 1) -> DataFrame:
+def stream_steps(readings: DataFrame, delay: str = "1 day", lower: float = 0, upper: float = 1, buckets: int = BUCKETS) -> DataFrame:
     """Readings with previous odometer and distance (``is_reading`` 1), and corrections of earlier distances (0).
 
     ``readings`` has vehicle_id, recorded_at, message_id, odometer_km and numeric
@@ -230,16 +259,19 @@ def stream_steps(readings: DataFrame, delay: str = "1 day", lower: float = 0, up
     matter: the sums of ``distance_km`` by reading time equal those of the batch.
     A correction has the id and time of the reading it corrects and nulls for
     measures. Later rows are dropped by the watermark (see ``late_rows``), rows
-    without a time too; a missing id counts as an empty one. State is 16 bytes and
-    the id of each reading of the last ``delay`` per vehicle; a task holds one
-    vehicle's rows of one micro-batch, which the trigger's limits bound.
+    without a time too; a missing id counts as an empty one. State is 20 bytes and
+    the id of each reading of the last ``delay``, and one reading per vehicle; it
+    is kept and handled by ``buckets`` groups of vehicles, as a call and an output
+    batch per vehicle cost more than its readings do. A task holds one group's
+    rows of one micro-batch, which the trigger's limits bound.
     """
     timed = readings.withColumn("recorded_at", F.col("recorded_at").cast("timestamp")).withColumn("message_id", F.coalesce("message_id", F.lit("")))
     timed = timed.where("recorded_at is not null").withWatermark("recorded_at", delay)
     out = T.StructType([*timed.schema.fields, T.StructField("previous_odometer_km", T.DoubleType()), T.StructField("distance_km", T.DoubleType()), T.StructField("is_reading", T.IntegerType())])
     out = T.StructType([T.StructField(f.name, f.dataType) for f in out.fields])
     steps = _Steps(timed.columns, lower, upper)
-    return timed.groupBy("vehicle_id").transformWithStateInPandas(steps, out, "Append", "EventTime", eventTimeColumnName="recorded_at")
+    grouped = timed.withColumn("_bucket", bucket_of("vehicle_id", buckets)).groupBy("_bucket")
+    return grouped.transformWithStateInPandas(steps, out, "Append", "EventTime", eventTimeColumnName="recorded_at")
 
 
 def fact_measures(readings: DataFrame) -> DataFrame:

@@ -88,6 +88,28 @@ def test_steps_and_corrections_equal_lag_whatever_the_order():
         assert len(np.frombuffer(handle.states["recent"].get()[0], "int64")) <= len(rows)
 
 
+def test_one_group_of_many_vehicles_equals_lag_per_vehicle():
+    rng = random.Random(11)
+    for case in range(20):
+        base = dt.datetime(2024, 1, 1)
+        rows = [(rng.choice(["a", "b", "a\x00b", None]), base + dt.timedelta(minutes=rng.randrange(30)), f"m{n}", float(rng.randrange(4))) for n in range(40)]
+        processor, clock, handle = K._Steps(["vehicle_id", "recorded_at", "message_id", "odometer_km"], 0, 1), Clock(), Handle()
+        processor.init(handle)
+        arrival, got = sorted(rows, key=lambda r: r[1] + dt.timedelta(minutes=rng.random() * 10)), []
+        for at in range(0, len(arrival), 9):
+            part = arrival[at : at + 9]
+            frame = pd.DataFrame(part, columns=["vehicle_id", "recorded_at", "message_id", "odometer_km"])
+            got.extend(processor.handleInputRows((0,), iter([frame]), clock))
+            newest = max(r[1] for r in arrival[: at + 9])
+            clock.ms = int((newest - dt.timedelta(minutes=10) - dt.datetime(1970, 1, 1)).total_seconds() * 1000) - 1
+        got = pd.concat([g.astype(object) for g in got])
+        want = {i: x for v in {r[0] for r in rows} for i, x in steps_of([r[1:] for r in rows if r[0] == v]).items()}
+        vehicle = {r[2]: r[0] for r in rows}
+        total = got.groupby("message_id").distance_km.sum()
+        assert len(want) == len(rows) and all(abs(total[i] - want[i][1]) < 1e-9 for i in want)
+        assert all((v if isinstance(v, str) else None) == vehicle[i] for v, i in zip(got.vehicle_id, got.message_id))
+
+
 def test_state_keeps_only_what_may_still_matter():
     processor, clock, handle = K._Steps(["vehicle_id", "recorded_at", "message_id", "odometer_km"], 0, 1), Clock(), Handle()
     processor.init(handle)
