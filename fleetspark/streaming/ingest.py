@@ -21,8 +21,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,19 +138,19 @@ def stream_daily(stream: DataFrame, path: str, checkpoint: str, delay: str = "1
     return writer.start()
 
 
-DISTANCE_STATE = T.StructType(
-    [T.StructField("recorded_us", T.LongType()), T.StructField("message_id", T.StringType()), T.StructField("odometer_km", T.DoubleType())]
-)
+DISTANCE_STATE = T.StructType([T.StructField(n, T.BinaryType()) for n in ("vehicle_ids", "recorded_us", "odometers_km")])
 
 
-def stream_distance(stream: DataFrame, lower: float = 0, upper: float = 1) -> DataFrame:
+def stream_distance(stream: DataFrame, lower: float = 0, upper: float = 1, buckets: int = 512) -> DataFrame:
     """Previous odometer and distance per vehicle across micro-batches.
 
-    Within a batch rows are ordered by (recorded_at, message_id); the first
-    row continues from the newest reading kept in state. A row older than that
-    reading is compared with it (a negative step, so distance 0) and does not
-    move the state back. The state is one row per vehicle; the group handed to
-    pandas is one vehicle's rows of one micro-batch, bounded by the trigger.
+    Within a batch a vehicle's rows are ordered by (recorded_at, message_id); the
+    first row continues from the newest reading kept in state. A row older than
+    that reading is compared with it (a negative step, so distance 0) and does not
+    move the state back. The state is one reading per vehicle. Vehicles are dealt
+    over ``buckets`` groups, as a call per vehicle costs more than its rows do; a
+    group handed to pandas is its vehicles' rows of one micro-batch, bounded by
+    the trigger. A checkpoint keeps the number of groups it began with.
     """
     cols = stream.columns
     src = stream.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
@@ -161,28 +163,36 @@ def stream_distance(stream: DataFrame, lower: float = 0, upper: float = 1) -> Da
 
     def step(key, pdfs, state):
         pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values(["recorded_at", "message_id"], kind="mergesort", na_position="first").reset_index(drop=True)
-        us = pdf["recorded_at"].astype("datetime64[us]").astype("int64")
-        odo = pdf["odometer_km"].astype("float64")
+        seen, seen_us, seen_odo = [], np.zeros(0, "int64"), np.zeros(0)
         if state.exists:
-            last_us, _, last_odo = state.get
-            on_time = us >= last_us
-            prev = pd.Series(last_odo, index=pdf.index, dtype="float64")
-            prev_on = odo[on_time].shift(1)
-            if len(prev_on):
-                prev_on.iloc[0] = last_odo
-            prev[on_time] = prev_on
-        else:
-            last_us = None
-            prev = odo.shift(1)
+            ids, us, odometers = state.get
+            seen, seen_us, seen_odo = json.loads(bytes(ids)), np.frombuffer(us, "int64"), np.frombuffer(odometers, "float64")
+        # Vehicles in state come first, so a vehicle's code is its place there.
+        vehicles = np.empty(len(seen) + len(pdf), object)
+        vehicles[:] = seen + pdf["vehicle_id"].astype(object).tolist()
+        codes, known = pd.factorize(vehicles, use_na_sentinel=False)
+        pdf["_vehicle"] = codes[len(seen) :]
+        pdf = pdf.sort_values(["_vehicle", "recorded_at", "message_id"], kind="mergesort", na_position="first").reset_index(drop=True)
+        at = pdf["_vehicle"].to_numpy()
+        us = pdf["recorded_at"].astype("datetime64[us]").astype("int64").to_numpy()
+        odo = pdf["odometer_km"].astype("float64").to_numpy()
+        # Without a reading in state every time counts as later and nothing comes before.
+        new = len(known) - len(seen)
+        last_us = np.concatenate([seen_us, np.full(new, np.iinfo("int64").min)])
+        last_odo = np.concatenate([seen_odo, np.full(new, np.nan)])
+        on_time = us >= last_us[at]
+        follows = np.concatenate([[False], (at[1:] == at[:-1]) & on_time[:-1]]) & on_time
+        prev = np.where(follows, np.concatenate([[np.nan], odo[:-1]]), last_odo[at])
         delta = odo - prev
         pdf["previous_odometer_km"] = prev
-        pdf["distance_km"] = delta.where((delta >= lower) & (delta <= upper), 0.0).fillna(0.0)
-        if last_us is None or int(us.iloc[-1]) >= last_us:
-            state.update((int(us.iloc[-1]), str(pdf["message_id"].iloc[-1]), float(odo.iloc[-1])))
+        pdf["distance_km"] = np.where((delta >= lower) & (delta <= upper), delta, 0.0)
+        end = np.flatnonzero(np.concatenate([at[1:] != at[:-1], [True]]) & on_time)
+        last_us[at[end]], last_odo[at[end]] = us[end], odo[end]
+        state.update((json.dumps(known.tolist()).encode(), last_us.tobytes(), last_odo.tobytes()))
         yield pdf[names]
 
-    result = src.groupBy("vehicle_id").applyInPandasWithState(step, out_schema, DISTANCE_STATE, "append", GroupStateTimeout.NoTimeout)
+    grouped = src.withColumn("_bucket", F.pmod(F.xxhash64("vehicle_id"), F.lit(buckets)).cast("int")).groupBy("_bucket")
+    result = grouped.applyInPandasWithState(step, out_schema, DISTANCE_STATE, "append", GroupStateTimeout.NoTimeout)
     return result.select(*cols, "previous_odometer_km", "distance_km")
 
 

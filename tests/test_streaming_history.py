@@ -88,6 +88,28 @@ def test_stream_distance_and_daily_equal_batch(spark, tmp_dir):
     assert _rows(daily_stream, cols) == _rows(daily_batch, cols)
 
 
+def test_stream_distance_of_vehicles_that_share_a_group(spark, tmp_dir):
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    parts = [
+        [("a", at(1), "1", 1.0), ("a", at(3), "2", 1.5), ("b", at(2), "3", 7.0), (None, at(1), "4", 2.0), ("c", at(5), "5", None)],
+        # Older than a's newest reading, then one of the same time; b goes on; a vehicle that is new.
+        [("a", at(2), "6", 1.2), ("a", at(3), "7", 2.0), ("b", at(4), "8", 7.25), ("d", at(1), "9", 3.0), (None, at(2), "10", 2.5), ("c", at(6), "11", 4.0)],
+        [("a", at(9), "12", 2.5), ("c", at(7), "13", 4.5), ("d", at(1), "14", 3.5)],
+    ]
+    schema = "vehicle_id string, recorded_at timestamp, message_id string, odometer_km double"
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/shared-src")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/shared-src")
+        writer = S.stream_distance(stream, buckets=1).writeStream.format("parquet").option("path", f"{tmp_dir}/shared").option("checkpointLocation", f"{tmp_dir}/shared-ckpt")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    got = {r.message_id: (r.vehicle_id, r.previous_odometer_km, r.distance_km) for r in spark.read.parquet(f"{tmp_dir}/shared").collect()}
+    assert got == {
+        "1": ("a", None, 0.0), "2": ("a", 1.0, 0.5), "3": ("b", None, 0.0), "4": (None, None, 0.0), "5": ("c", None, 0.0),
+        "6": ("a", 1.5, 0.0), "7": ("a", 1.5, 0.5), "8": ("b", 7.0, 0.25), "9": ("d", None, 0.0), "10": (None, 2.0, 0.5), "11": ("c", None, 0.0),
+        "12": ("a", 2.0, 0.5), "13": ("c", 4.0, 0.5), "14": ("d", 3.0, 0.5),
+    }
+
+
 def test_incremental_runs_are_idempotent_and_pick_up_new_partitions(spark, tmp_dir):
     msgs = load_messages(spark, SF_SMALL)
     path = f"{tmp_dir}/fct"
