@@ -32,7 +32,8 @@ from pyspark.sql import types as T
 from fleetspark.model import RECORD_BATCH_MESSAGE, RECORD_MESSAGE, TELEMETRY_MESSAGE
 from fleetspark.sources import protobuf as pb
 
-BATCH_ROWS = 4096
+#: Rows held as Python objects at once; Spark's own batches hold ten times as many.
+BATCH_ROWS = 1024
 DESCRIPTOR_PATH = "_schema/descriptor_set.desc"
 RECORD_COLUMNS = ["topic", "partition", "offset", "timestamp", "key", "message_type", "value", "ingested_at"]
 
@@ -58,10 +59,16 @@ def _batches(rows: Iterator[dict], schema: T.StructType):
 
 
 def _rows(batches) -> Iterator[dict]:
-    for batch in batches:
+    for batch in _slices(batches):
         yield from batch.to_pylist()
 
 
+def _slices(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 # ---------------------------------------------------------------------------
 # Reading
 # ---------------------------------------------------------------------------
@@ -92,10 +99,9 @@ def explode_records(files: DataFrame, descriptor_set: bytes | None = None) -> Da
 
         def rows():
             for batch in batches:
-                paths = batch.column("file_path").to_pylist()
-                contents = batch.column("content").to_pylist()
-                for path, content in zip(paths, contents):
-                    msg = pb.parse(cls, content)
+                # A batch may hold a whole split of files: only one at a time is copied and parsed.
+                for path, content in zip(batch.column("file_path"), batch.column("content")):
+                    path, msg = path.as_py(), pb.parse(cls, content.as_py())
                     if msg is None:
                         continue
                     for rec in msg.records:
@@ -117,8 +123,8 @@ def check_files(files: DataFrame, descriptor_set: bytes | None = None) -> DataFr
 
         def rows():
             for batch in batches:
-                for path, content in zip(batch.column("file_path").to_pylist(), batch.column("content").to_pylist()):
-                    yield {"file_path": path, "decodes": pb.parse(cls, content) is not None}
+                for path, content in zip(batch.column("file_path"), batch.column("content")):
+                    yield {"file_path": path.as_py(), "decodes": pb.parse(cls, content.as_py()) is not None}
 
         yield from _batches(rows(), schema)
 
@@ -144,7 +150,7 @@ def decode_column(
         cls = pb.message_class(message_type, descriptor_set)
 
         def rows():
-            for batch in batches:
+            for batch in _slices(batches):
                 cols = {c: batch.column(c).to_pylist() for c in keep}
                 for i, value in enumerate(batch.column(value_col).to_pylist()):
                     msg = pb.parse(cls, value)
