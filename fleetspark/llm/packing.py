@@ -23,6 +23,8 @@ from fleetspark.llm.tokens import read_spec, token_batches
 LENGTH = 1024
 #: Partitions whose offsets are broadcast at most.
 MOST_PARTS = 1_000_000
+#: Pieces that a task sends back at once, of ``length`` ids at most.
+PIECES_AT_ONCE = 1024
 STREAM = "doc_id {id}, part int, local_start bigint, n bigint, ids binary"
 PIECES = "doc_id {id}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, cut_before boolean, cut_after boolean, ids binary"
 
@@ -65,6 +67,40 @@ def with_offsets(stream: DataFrame) -> DataFrame:
     return stream.join(small(bases, MOST_PARTS), "part").withColumn("place", F.col("base") + F.col("local_start"))
 
 
+def _pieces(batch: pa.RecordBatch, length: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of some placed documents, ``PIECES_AT_ONCE`` at a time."""
+    place, n = batch.column("place").to_numpy(), batch.column("n").to_numpy()
+    first, last = place // length, (place + n - 1) // length
+    count = last - first + 1
+    row = np.repeat(np.arange(len(n)), count)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    sequence = first[row] + nth
+    begin = np.maximum(place[row], sequence * length)
+    end = np.minimum(place[row] + n[row], (sequence + 1) * length)
+    start = begin - place[row]
+    # A batch's pieces are its documents' ids in order, so they share its buffer and only the offsets differ.
+    ids = batch.column("ids")
+    offsets = np.frombuffer(ids.buffers()[1], "int32")[ids.offset : ids.offset + len(ids) + 1]
+    piece_offsets = np.append(offsets[row] + 4 * start, offsets[-1]).astype("int32")
+    pieces = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(piece_offsets), ids.buffers()[2]])
+    cut_rows = pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id").take(pa.array(row)),
+            pa.array(start),
+            pa.array(end - begin),
+            pa.array(n[row]),
+            pa.array(sequence),
+            pa.array(begin - sequence * length),
+            pa.array(start > 0),
+            pa.array(end < place[row] + n[row]),
+            pieces,
+        ],
+        ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "cut_before", "cut_after", "ids"],
+    )
+    for at in range(0, len(row), PIECES_AT_ONCE):
+        yield cut_rows.slice(at, PIECES_AT_ONCE)
+
+
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of a document: where it starts in its document, its sequence and offset there, and its ids.
 
@@ -78,31 +114,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH,
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            place, n = batch.column("place").to_numpy(), batch.column("n").to_numpy()
-            first, last = place // length, (place + n - 1) // length
-            count = last - first + 1
-            row = np.repeat(np.arange(len(n)), count)
-            nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            sequence = first[row] + nth
-            begin = np.maximum(place[row], sequence * length)
-            end = np.minimum(place[row] + n[row], (sequence + 1) * length)
-            start = begin - place[row]
-            ids = batch.column("ids").to_pylist()
-            pieces = [ids[r][4 * s : 4 * e] for r, s, e in zip(row.tolist(), start.tolist(), (end - place[row]).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(pa.array(row)),
-                    pa.array(start),
-                    pa.array(end - begin),
-                    pa.array(n[row]),
-                    pa.array(sequence),
-                    pa.array(begin - sequence * length),
-                    pa.array(start > 0),
-                    pa.array(end < place[row] + n[row]),
-                    pa.array(pieces, pa.binary()),
-                ],
-                ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "cut_before", "cut_after", "ids"],
-            )
+            if batch.num_rows:
+                yield from _pieces(batch, length)
 
     return placed.mapInArrow(cut, schema).withColumnRenamed("doc_id", id_col)
 

@@ -126,3 +126,30 @@ def test_pack_query(spark):
         assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
         total[r.doc_id] += r.length
     assert total == {d: len(x) for d, x in ids.items()}
+
+
+def test_pieces_share_the_ids_of_their_batch_and_go_out_in_small_parts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from fleetspark.llm import packing
+
+    rng = np.random.default_rng(4)
+    n = rng.integers(1, 5000, 2000)
+    place = np.cumsum(n) - n + 700
+    ids = [rng.integers(0, 50_000, k).astype("<u4").tobytes() for k in n]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array(place), pa.array(n), pa.array(ids, pa.binary())], ["doc_id", "place", "n", "ids"])
+    batch = batch.slice(3, 1990)
+    tracemalloc.start()
+    parts = list(packing._pieces(batch, 1024))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000 < sum(map(len, ids)) and max(p.num_rows for p in parts) <= packing.PIECES_AT_ONCE
+    got = [r for p in parts for r in p.to_pylist()]
+    assert [r["ids"] for r in got] == [ids[r["doc_id"]][4 * r["start"] : 4 * (r["start"] + r["length"])] for r in got]
+    assert [(r["sequence_id"], r["offset"]) for r in got[1:]] == [divmod(place[r["doc_id"]] + r["start"], 1024) for r in got[1:]]
+    whole = {}
+    for r in got:
+        whole[r["doc_id"]] = whole.get(r["doc_id"], b"") + r["ids"]
+    assert whole == dict(enumerate(ids[3:1993], 3))
