@@ -46,11 +46,11 @@ class WaveletMatrix:
             raise ValueError(f"id {int(ids.max())} needs more than {bits} bits")
         now, zeros, planes = ids.astype("uint32" if bits > 16 else "uint16"), [], []
         for level in range(bits - 1, -1, -1):
-            ones = (now >> level & 1).astype(bool)
+            ones = (now & now.dtype.type(1 << level)).astype(bool)
             planes.append(np.packbits(ones))
-            low = now[~ones]
+            low, high = np.flatnonzero(~ones), np.flatnonzero(ones)
             zeros.append(len(low))
-            now = np.concatenate([low, now[ones]])
+            now = now.take(np.concatenate([low, high]))
         return cls(len(ids), zeros, planes)
 
     def decode(self) -> np.ndarray:
@@ -59,10 +59,10 @@ class WaveletMatrix:
         now = np.zeros(self.n, kind)
         for level in range(self.bits):
             plane = self.bits - 1 - level
-            ones = np.unpackbits(self.planes[plane], count=self.n).astype(bool)
+            ones = np.unpackbits(self.planes[plane], count=self.n).view(bool)
             above = np.empty(self.n, kind)
-            above[~ones] = now[: self.zeros[plane]]
-            above[ones] = now[self.zeros[plane] :] | np.array(1 << level, kind)
+            above[np.flatnonzero(~ones)] = now[: self.zeros[plane]]
+            above[np.flatnonzero(ones)] = now[self.zeros[plane] :] | np.array(1 << level, kind)
             now = above
         return now
 
@@ -224,14 +224,14 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
             for start, data in zip(batch.column("start").to_pylist(), batch.column("bytes"), strict=True):
                 doc_ids, lengths, matrix = from_bytes(data.as_py())
                 ends = np.cumsum(lengths.astype("int64"))
-                raw = matrix.decode().astype("<u4").tobytes()
-                offsets = np.concatenate([[0], 4 * ends])
+                raw = matrix.decode().astype("<u4")
+                offsets = np.concatenate([[0], 4 * ends]).astype("int32")
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(doc_ids, pa.int64()),
                         pa.array(start + ends - lengths),
                         pa.array(lengths.astype("int64")),
-                        pa.array([raw[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist(), strict=False)], pa.binary()),
+                        pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]),
                     ],
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
