@@ -36,7 +36,7 @@ def is_plain(text: str) -> bool:
     return not any(x in text for x in NOT_PLAIN)
 
 
-#: Pieces and words kept per worker, some 200 bytes each.
+#: Pieces and words kept per worker, some 200 bytes each: half of them new, half those from before.
 MOST_PIECES = 500_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Words of plain texts: the two pre-tokenizers' patterns with their classes written out for those letters.
@@ -71,8 +71,12 @@ class Encoder:
         self.bytewise = self.tokenizer.normalizer is None
         self.words = WORDS["byte" if self.bytewise else "word"]
         self.letters = byte_letters()
+        self.shown_space = self.letters[32]
+        self.bytes_of = [n.to_bytes(4, "little") for n in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.known: dict[str, bytes] = {}
         self.known_words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         """The library's ids of whole texts."""
@@ -86,33 +90,48 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         got = self.known_words.get(word)
+        if got is None and (got := self.old_words.pop(word, None)) is not None:
+            self.known_words[word] = got
         if got is None:
             if word.isascii():  # printable, as texts are plain: only the space and the line break have other letters
                 shown = word.replace(" ", self.letters[32]).replace("\n", self.letters[10])
             else:
                 shown = word.encode().decode("latin-1").translate(self.letters)
-            got = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
-            self.known_words[word] = got
+            got = self.known_words[word] = self._tokens(shown)
         return got
 
+    def _tokens(self, shown: str) -> bytes:
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in self.model.tokenize(shown)])
+
     def _piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():  # one word, whose letters stand for themselves
+            word = " " + piece if self.bytewise else piece
+            got = self.known_words.get(word)
+            if got is None:
+                got = self.old_words.pop(word, None) or self._tokens(self.shown_space + piece if self.bytewise else piece)
+                self.known_words[word] = got
+            return got
         if not self.bytewise:
             return b"".join(map(self._word, self.words.findall(piece)))
         mark, rest = (piece[0], piece[1:]) if piece[0] in "\r\n" else ("", " " + piece)
         return (self._word("\n") if mark == "\n" else b"") + b"".join(map(self._word, self.words.findall(rest)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for cache in (self.known, self.known_words):
-            if len(cache) > MOST_PIECES:
-                cache.clear()
-        known, out, odd = self.known, [], []
+        # What has been met since the last change of generations outlives the next one; the rest is forgotten.
+        if len(self.known) > MOST_PIECES // 2:
+            self.known, self.old = {}, self.known
+        if len(self.known_words) > MOST_PIECES // 2:
+            self.known_words, self.old_words = {}, self.known_words
+        known, old, out, odd = self.known, self.old, [], []
         for k, text in enumerate(texts):
             pieces = self._cut(text)
             try:
                 ids = b"".join(map(known.__getitem__, pieces))
             except KeyError:
                 for x in set(pieces).difference(known):
-                    known[x] = self._piece(x)
+                    got = old.pop(x, None)
+                    known[x] = self._piece(x) if got is None else got
                 ids = b"".join(map(known.__getitem__, pieces))
             out.append(ids)
             if text and not pieces:

@@ -153,3 +153,21 @@ def test_pieces_share_the_ids_of_their_batch_and_go_out_in_small_parts():
     for r in got:
         whole[r["doc_id"]] = whole.get(r["doc_id"], b"") + r["ids"]
     assert whole == dict(enumerate(ids[3:1993], 3))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_frequent_pieces_outlive_a_full_cache(monkeypatch, name):
+    from fleetspark.llm import tokens
+
+    monkeypatch.setattr(tokens, "MOST_PIECES", 40)
+    spec = read_spec(public_tokenizers.path(name))
+    encoder, plain = Encoder(spec), Tokenizer.from_str(spec)
+    asked = []
+    tokenize = encoder._tokens
+    monkeypatch.setattr(encoder, "_tokens", lambda shown: asked.append(shown) or tokenize(shown))
+    for n in range(30):
+        text = f"Often the same words, \u00e9t\u00e9 number{n} x{n}y odd{chr(97 + n % 26)}{chr(97 + n // 26)}"
+        got = np.frombuffer(encoder.encode([text])[0], "<u4").tolist()
+        assert got == plain.encode(text, add_special_tokens=False).ids
+    assert sum("same" in shown for shown in asked) == 1
+    assert len(encoder.known) + len(encoder.old) <= 60
