@@ -171,3 +171,27 @@ def test_frequent_pieces_outlive_a_full_cache(monkeypatch, name):
         assert got == plain.encode(text, add_special_tokens=False).ids
     assert sum("same" in shown for shown in asked) == 1
     assert len(encoder.known) + len(encoder.old) <= 60
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_a_word_is_kept_once_whatever_sign_follows(path):
+    encoder, plain = Encoder(read_spec(path)), Tokenizer.from_file(path)
+    words = [f"{chr(97 + n // 26)}{chr(97 + n % 26)}often" for n in range(500)]
+    texts = [" ".join(w + sign for w in words) + "." for sign in ("", ",", ".", ";", "!", "'", "7", "-")]
+    texts += [*ODD, "end. x' 's d'l. a.\nb, é. naïveé, cafeé été. e!! (so) [n] {k}~ z`", "It's.\n'tis"]
+    for text, got in zip(texts, encoder.encode(texts), strict=True):
+        assert got == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:80]
+    assert len(encoder.known) < 600
+
+
+def test_texts_encoded_at_once_are_bounded_by_their_characters(monkeypatch):
+    from fleetspark.llm import tokens
+
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 2000)
+    texts = ["so " * 300, None, "a" * 5000, "", *["it is"] * 700]
+    parts = list(tokens.token_batches(read_spec(BYTE), 0)(texts))
+    sizes = [len(p) for p in parts]
+    assert sum(sizes) == len(texts) and sizes[:2] == [2, 1] and max(sizes) <= 401
+    plain = Tokenizer.from_file(BYTE)
+    got = [np.frombuffer(x, "<u4").tolist() for p in parts for x in p]
+    assert got == [[*plain.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
