@@ -14,6 +14,8 @@ from fleetspark.session import work_path
 #: Words are maximal runs of characters other than the six ASCII white-space characters.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD_RUN = r"[^\x20\x09-\x0D]+"
+#: Spark's setting to delete a query's shuffle files at its end.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def text_or_empty(col: str = "text") -> Column:
@@ -26,15 +28,25 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     """Writes ``df`` as Parquet in the shared work folder and reads it back.
 
     This cuts the lineage: a lost executor costs only the tasks it ran, and no
-    later step computes ``df`` again. ``discard`` deletes it.
+    later step computes ``df`` again. ``discard`` deletes it. With
+    ``drop_shuffles`` Spark deletes the job's shuffle files as soon as it is
+    done, not when the driver happens to collect its garbage.
     """
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    if drop_shuffles:
+        before = spark.conf.get(DROP_SHUFFLES)
+        spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            spark.conf.set(DROP_SHUFFLES, before)
+    table = spark.read.schema(df.schema).parquet(path)
     table.work_path = path
     return table
 

@@ -25,6 +25,7 @@ Words are compared without regard to ASCII case.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,7 +34,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import discard, release, text_or_empty, written
+from fleetspark.llm import common
+from fleetspark.llm.common import discard, release, text_or_empty
 from fleetspark.llm.graph import components
 from fleetspark.llm.suffix_dedup import Hashes, mixed
 
@@ -47,6 +49,8 @@ PARAGRAPH, LONG, PASSAGE = 1, 20, 16
 PAIR = 2
 CHUNK = 1_000_000
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Every work table drops its job's shuffle files, which together would be several times the input.
+written = functools.partial(common.written, drop_shuffles=True)
 UNITS = "kind tinyint, doc_id {id}, a bigint, b bigint, key bigint, bands array<bigint>"
 
 

@@ -179,3 +179,22 @@ def test_self_repeating_text_is_one_row(spark):
     assert all(len(x) <= 2 for x in gone.values()) and len(got) <= 12
     assert gone[0] == [(1, 3000)] and gone[1][0][0] < 7 + 16 and gone[1][0][1] == 2800
     assert gone[3][0][1] == 2800 and gone[3][0][0] == 0
+
+
+def test_work_tables_drop_the_shuffle_files_of_their_jobs(spark):
+    import time
+    from pathlib import Path
+
+    from fleetspark.llm import common, paragraphs
+
+    dirs = [Path(d.toString()) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for f in d.rglob("shuffle_*.data")}
+    before, setting = files(), spark.conf.get(common.DROP_SHUFFLES)
+    rows = spark.range(5000).repartition("id").groupBy("id").count()
+    table = paragraphs.written(rows, "test-shuffles")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert table.count() == rows.count() == 5000 and spark.conf.get(common.DROP_SHUFFLES) == setting
+    common.discard(table)
